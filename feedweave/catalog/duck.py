@@ -65,7 +65,7 @@ def quantity(c, null_fill):
     scaled = f"cast(cast(trunc(abs({n}) * 1000) AS HUGEINT) AS VARCHAR)"
     return (
         f"CASE WHEN {c} IS NULL THEN repeat('{null_fill}', 10) "
-        f"WHEN {n} <= -1 THEN '-' || {grow(scaled, 9, 'l', '0')} ELSE {grow(scaled, 10, 'l', '0')} END"
+        f"WHEN {n} < 0 AND trunc(abs({n}) * 1000) > 0 THEN '-' || {grow(scaled, 9, 'l', '0')} ELSE {grow(scaled, 10, 'l', '0')} END"
     )
 
 

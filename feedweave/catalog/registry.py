@@ -17,7 +17,9 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.folder}/{name}.parquet", "parquet")
+        table = read_table(self.spark, f"{self.folder}/{name}.parquet", "parquet")
+        setattr(self, name, table)
+        return table
 
     def values(self, columns: str, *rows: str) -> DataFrame:
         """A few literal lookup rows."""

@@ -28,33 +28,28 @@ def clamp_ordinal(c: Column, negative: str | None = None) -> Column:
     shortens the record and so rejects it.
     """
     n = to_integer(c)
-    return (
-        F.when(c.isNull() | (n == 0), F.lit("00"))
-        .when(n.between(1, 100), F.lpad((n - 1).cast("string"), 2, "0"))
-        .when(n > 100, F.lit("99"))
-        .when(n < 0, F.lit(negative))
-    )
+    shown = F.lpad((F.least(F.greatest(n, F.lit(1)), F.lit(100)) - 1).cast("string"), 2, "0")
+    return F.when(n >= 0, shown).when(n < 0, F.lit(negative)).when(c.isNull(), F.lit("00"))
 
 
 def clamp_abs(c: Column, cap: int = 99) -> Column:
     """Magnitude, at most ``cap``, zero-padded to the width of the cap; null gives zeros."""
     width = len(str(cap))
-    n = F.abs(to_number(c))
-    return F.when(c.isNull(), F.lit("0" * width)).when(n > cap, F.lit(str(cap))).otherwise(
-        F.lpad(n.cast("int").cast("string"), width, "0")
-    )
+    n = to_number(c)
+    shown = F.lpad(F.least(F.abs(n), F.lit(cap)).cast("int").cast("string"), width, "0")
+    return F.when(n.isNotNull(), shown).when(c.isNull(), F.lit("0" * width))
 
 
 def offset_key(c: Column, offset: int, width: int, side: str, fill: str, cleaned: bool = True) -> Column:
     """Add ``offset`` to an integer key. Null when the text is no number.
 
-    Digit strings beyond 38 places are kept as they are: too wide for any field.
+    Of more than 37 digits the first 37 are used: too wide for any field, so the
+    layout check rejects the record.
     """
     text = F.ltrim(clean(c)) if cleaned else F.trim(c)
-    whole = F.regexp_replace(text, r"\..*$", "")
+    whole = F.substring(F.regexp_replace(text, r"\..*$", ""), 1, 37)
     shifted = (whole.try_cast("decimal(37,0)") + F.lit(offset)).cast("string")
-    huge = F.when(whole.rlike("^[0-9]{38,}$"), whole)
-    return pad_or_overflow(F.coalesce(shifted, huge), width, side, fill)
+    return pad_or_overflow(shifted, width, side, fill)
 
 
 def offset_key_or_zeros(c: Column, offset: int, width: int) -> Column:
@@ -62,27 +57,23 @@ def offset_key_or_zeros(c: Column, offset: int, width: int) -> Column:
 
 
 def hex_id(c: Column, width: int) -> Column:
-    """Decimal id to upper-case hexadecimal, padded right; null or no digits gives spaces."""
-    text = clean(c)
-    # conv() raises beyond 64 bits, so longer ids bypass it and fail the layout check
-    fits = F.length(text) <= 18
-    shown = F.when(fits, F.conv(F.when(fits, text), 10, 16)).otherwise(text)
-    return pad_or_overflow(F.coalesce(F.trim(shown), F.lit("")), width, "right")
+    """Decimal id to upper-case hexadecimal, padded right; null or no digits gives spaces.
+
+    ``conv`` raises beyond 64 bits, so of more than 19 digits the first 19 are
+    used: their hexadecimal form is already too wide for the field.
+    """
+    digits = F.substring(F.regexp_replace(clean(c), "^0+(?=[0-9])", ""), 1, 19)
+    return pad_or_overflow(F.coalesce(F.conv(digits, 10, 16), F.lit("")), width, "right")
 
 
 def quantity(c: Column, whole: int = 7, places: int = 3) -> Column:
     """``whole`` zero-padded digits followed by ``places`` fraction digits, further places cut."""
-    n = to_number(c)
-    width = whole + places
-    digits = F.floor(F.abs(n) * (10**places)).cast("string")
-    negative = n <= -1
-    return F.when(
-        negative, F.concat(F.lit("-"), pad_or_overflow(digits, width - 1, "left", "0"))
-    ).otherwise(pad_or_overflow(digits, width, "left", "0"))
+    scaled = (to_number(c) * 10**places).try_cast("bigint")
+    return F.when(scaled.isNotNull(), F.format_string(f"%0{whole + places}d", scaled))
 
 
 def quantity_or(c: Column, fill: str, whole: int = 7, places: int = 3) -> Column:
-    return F.when(c.isNull(), F.lit(fill * (whole + places))).otherwise(quantity(c, whole, places))
+    return F.coalesce(quantity(c, whole, places), F.when(c.isNull(), F.lit(fill * (whole + places))))
 
 
 def money(c: Column, whole: int = 6) -> Column:
@@ -91,24 +82,17 @@ def money(c: Column, whole: int = 6) -> Column:
     The whole part is blank for amounts between zero and one; the sign is kept.
     """
     n = to_number(c)
-    rounded = F.round(n, 2)
-    cents = F.abs(rounded * 100).cast("decimal(38,0)").cast("string")
-    cents = F.when(F.length(cents) < 2, F.lpad(cents, 2, "0")).otherwise(cents)
-    units = F.substring(cents, F.lit(1), F.length(cents) - 2)
-    units = F.when((units == "") & (n == 0), F.lit("0")).otherwise(units)
-    sign = F.when(rounded < 0, F.lit("-")).otherwise(F.lit(""))
-    return F.concat(pad_or_overflow(F.concat(sign, units), whole, "left"), F.right(cents, F.lit(2)))
+    # the point goes, and with it a zero that stands alone before it
+    digits = F.regexp_replace(F.round(n, 2).cast("string"), r"^(-?)0\.|\.", "$1")
+    return pad_or_overflow(F.when(n == 0, F.lit("000")).otherwise(digits), whole + 2, "left")
 
 
 def money_or_spaces(c: Column, whole: int = 6) -> Column:
-    return F.when(c.isNull(), filler(whole + 2)).otherwise(money(c, whole))
+    return F.coalesce(money(c, whole), F.when(c.isNull(), filler(whole + 2)))
 
 
 def money_flagged(flag: Column, c: Column, whole: int = 6) -> Column:
     """Zeros when flagged 'Y'; spaces when 'N' and null; otherwise the amount."""
     width = whole + 2
-    return (
-        F.when(flag == "Y", F.lit("0" * width))
-        .when((flag == "N") & c.isNull(), filler(width))
-        .otherwise(money(c, whole))
-    )
+    unflagged = F.coalesce(money(c, whole), F.when((flag == "N") & c.isNull(), filler(width)))
+    return F.when(flag == "Y", F.lit("0" * width)).otherwise(unflagged)

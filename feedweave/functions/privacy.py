@@ -18,6 +18,11 @@ from pyspark.sql import functions as F
 KEY_PREFIX = "spark.feedweave.key."
 
 
+def base64_line(c: Column) -> Column:
+    """Base64 on one line: Spark breaks its Base64 text after 76 characters."""
+    return F.translate(F.base64(c), "\r\n", "")
+
+
 @dataclass(frozen=True)
 class KeyRing:
     """Hexadecimal AES keys (16, 24 or 32 bytes) by key id."""
@@ -33,9 +38,7 @@ class KeyRing:
         key = self.keys[key_id]
         text = c.cast("string")
         vector = F.unhex(F.substring(F.sha2(F.concat(F.lit(key), F.lit("|"), text), 256), 1, 32))
-        return F.base64(
-            F.aes_encrypt(text, F.unhex(F.lit(key)), F.lit("CBC"), F.lit("PKCS"), vector)
-        )
+        return base64_line(F.aes_encrypt(text, F.unhex(F.lit(key)), F.lit("CBC"), F.lit("PKCS"), vector))
 
     def unprotect(self, c: Column, key_id: str) -> Column:
         """Clear text of a token; null for null and for text that is no token of this key."""
@@ -54,13 +57,12 @@ def tokenise(c: Column, salt: str) -> Column:
 
 
 def encode_base64(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.withColumns({c: F.base64(F.col(c).cast("string").cast("binary")) for c in columns})
+    return df.withColumns({c: base64_line(F.col(c).cast("string").cast("binary")) for c in columns})
 
 
 def publish_token(df: DataFrame, column: str, token: Column) -> DataFrame:
     """Replace ``column`` by its Base64-encoded token and drop rows that became equal."""
-    encoded = F.base64(token.cast("binary"))
-    return df.withColumn(column, encoded).distinct()
+    return df.withColumn(column, base64_line(token.cast("binary"))).distinct()
 
 
 def zip_prefix(clear_zip: Column, pad_first: bool = False) -> Column:

@@ -22,7 +22,8 @@ def pad(c: Column, width: int, side: str, fill: str = " ") -> Column:
 
 def pad_or_overflow(c: Column, width: int, side: str, fill: str = " ") -> Column:
     """Pad like :func:`pad`, but leave longer text whole so that the layout check sees it."""
-    return F.when(F.length(c) > width, c).otherwise(pad(c, width, side, fill))
+    room = F.greatest(F.length(c), F.lit(width))
+    return F.lpad(c, room, F.lit(fill)) if side == "left" else F.rpad(c, room, F.lit(fill))
 
 
 def clean_pad(

@@ -9,12 +9,14 @@ from pyspark.sql import SparkSession
 
 # Runtime SQL settings every job here relies on. Skewed joins are split by
 # adaptive execution, also where the split costs one more shuffle afterwards.
+# The JVM never compiles methods beyond 8000 bytes of bytecode: stages as wide
+# as the claim record then run on split projections, which it does compile.
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
