@@ -47,7 +47,7 @@ def offset_key(c: Column, offset: int, width: int, side: str, fill: str, cleaned
     layout check rejects the record.
     """
     text = F.ltrim(clean(c)) if cleaned else F.trim(c)
-    whole = F.substring(F.regexp_replace(text, r"\..*$", ""), 1, 37)
+    whole = F.substring(F.substring_index(text, ".", 1), 1, 37)
     shifted = (whole.try_cast("decimal(37,0)") + F.lit(offset)).cast("string")
     return pad_or_overflow(shifted, width, side, fill)
 
@@ -68,8 +68,10 @@ def hex_id(c: Column, width: int) -> Column:
 
 def quantity(c: Column, whole: int = 7, places: int = 3) -> Column:
     """``whole`` zero-padded digits followed by ``places`` fraction digits, further places cut."""
+    width = whole + places
     scaled = (to_number(c) * 10**places).try_cast("bigint")
-    return F.when(scaled.isNotNull(), F.format_string(f"%0{whole + places}d", scaled))
+    digits = pad_or_overflow(scaled.cast("string"), width, "left", "0")
+    return F.when(scaled >= 0, digits).when(scaled < 0, F.format_string(f"%0{width}d", scaled))
 
 
 def quantity_or(c: Column, fill: str, whole: int = 7, places: int = 3) -> Column:

@@ -87,12 +87,13 @@ def sales_in_window(sales: DataFrame, cfg: Settings) -> DataFrame:
 
 
 def loyalty_lines(sales: DataFrame) -> DataFrame:
-    """Item lines with the loyalty id of their transaction's header."""
+    """Item lines with the loyalty id of their transaction's header.
+
+    Repeated headers repeat lines; :func:`item_totals` reduces them to one per line key.
+    """
     kinds = F.col("RECORDTYP")
-    headers = (
-        sales.filter((kinds == fixed.HEADER_RECORD) & is_filled(F.col("LOYALTY_ID")))
-        .select(*SALE_KEYS, "LOYALTY_ID")
-        .distinct()
+    headers = sales.filter((kinds == fixed.HEADER_RECORD) & is_filled(F.col("LOYALTY_ID"))).select(
+        *SALE_KEYS, "LOYALTY_ID"
     )
     lines = sales.filter((kinds == fixed.LINE_RECORD) & (F.col("UNIT_QTY") >= 0))
     lines = filters.complete_rows(
@@ -143,25 +144,25 @@ def online_ids(identity: DataFrame) -> DataFrame:
 
 
 def attach_identity(lines: DataFrame, identity: DataFrame) -> DataFrame:
-    ids = online_ids(identity).distinct()
+    ids = online_ids(identity)
     joined = lines.join(ids, lines["LOYALTY_ID"] == ids["LR_ID"], "inner")
     return joined.drop("LR_ID")
 
 
 def sellable_products(tables: Tables, cfg: Settings) -> DataFrame:
-    """Product rows outside the sensitive studies and categories, with their SKU."""
+    """Product rows outside the sensitive studies and categories, with their SKU, each once."""
     master = tables.product_master.select(
         "ARTICLE_NBR",
         to_integer(F.col("UPC"), "long").alias("UPC_NBR"),
         to_integer(F.substring("NODE", 9, 3)).alias("opStudy"),
     )
-    master = filters.exclude_codes(master, "opStudy", cfg.study_codes).select("ARTICLE_NBR", "UPC_NBR").distinct()
+    master = filters.exclude_codes(master, "opStudy", cfg.study_codes).select("ARTICLE_NBR", "UPC_NBR")
     articles = tables.article_map.select(
         F.col("ZARTICLE").alias("ARTICLE_NBR"),
         to_integer(F.col("ZUPC"), "long").alias("UPC_NBR"),
         to_integer(F.col("ZUPCWOCHECK"), "long").alias("ZUPCWOCHECK"),
         to_integer(F.col("ZWIC")).alias("WIC_NBR"),
-    ).distinct()
+    )
     category = filters.complete_rows(tables.category, ["UPC_NBR", "PROD_CAT_NBR"])
     category = filters.exclude_sensitive_category(
         category, "PROD_CAT_NAME", "PROD_CAT_NBR", cfg.category_name_part, cfg.category_codes
@@ -169,10 +170,9 @@ def sellable_products(tables: Tables, cfg: Settings) -> DataFrame:
     products = master.join(articles, ["ARTICLE_NBR", "UPC_NBR"], "inner")
     # only existence in an allowed category matters for the feed
     products = lookups.keep_if_in(products, category, {"ZUPCWOCHECK": "__category_upc"})
-    skus = (
-        tables.assortment.filter(F.col("SKU_ID").isNotNull() & (F.col("STATUS_CODE") == fixed.ACTIVE_STATUS))
-        .select("ARTICLE_NBR", to_integer(F.col("WIC_NBR")).alias("WIC_NBR"), "SKU_ID")
-        .distinct()
+    active = F.col("SKU_ID").isNotNull() & (F.col("STATUS_CODE") == fixed.ACTIVE_STATUS)
+    skus = tables.assortment.filter(active).select(
+        "ARTICLE_NBR", to_integer(F.col("WIC_NBR")).alias("WIC_NBR"), "SKU_ID"
     )
     return products.join(skus, ["WIC_NBR", "ARTICLE_NBR"], "inner").select(
         "ARTICLE_NBR", "UPC_NBR", "SKU_ID"
