@@ -216,7 +216,7 @@ CODED = {
     }),
 )
 def fmt_code_map(t: Tables):
-    cash = F.coalesce(F.upper("method").isin(list(CASH_METHODS)), F.lit(False))
+    cash = F.coalesce(text.in_any_case(F.col("method"), CASH_METHODS), F.lit(False))
     government = text.has_text_at(F.col("plan"), GOVERNMENT_PLAN_PARTS)
     return _rows(t, "orders", "o_orderkey", CODED).select(
         "o_orderkey",

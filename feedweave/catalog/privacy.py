@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import birth_year_topcode
 from ..functions.privacy import KeyRing, encode_base64, publish_token, tokenise, zip3_generalise
-from ..functions.text import suppress_when
+from ..functions.text import in_any_case, suppress_when
 from ..operators.lookups import flag_if_in
 from . import duck
 from .formats import AS_OF, _rows, _sql
@@ -91,7 +91,7 @@ PRESCRIBERS = {
 )
 def privacy_suppress(t: Tables):
     state = F.col("state")
-    hidden = state.isNull() | F.upper(state).isin("WI", "MN")
+    hidden = state.isNull() | in_any_case(state, ["WI", "MN"])
     return _rows(t, "customer", "c_custkey", PRESCRIBERS).select(
         "c_custkey", suppress_when(F.col("number"), hidden, 9).alias("shown")
     )

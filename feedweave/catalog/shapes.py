@@ -241,6 +241,7 @@ def claims(t: Tables) -> DataFrame:
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     )
-    return joined.repartition("l_orderkey", "l_linenumber").selectExpr(
+    parts = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    return joined.repartition(parts, "l_orderkey", "l_linenumber").selectExpr(
         *[f"{e} AS {c}" for c, e in CLAIM_COLUMNS.items()]
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from itertools import product
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -84,6 +85,17 @@ def has_text_at(c: Column, parts: Iterable[tuple[int, str]]) -> Column:
     return F.coalesce(hit, F.lit(False))
 
 
+def in_any_case(c: Column, words: Iterable[str]) -> Column:
+    """Is the text one of the short words, in any mix of ASCII cases? Null input gives null.
+
+    The spellings are listed, which is far cheaper per row than changing the case of the text.
+    """
+    spellings = [
+        "".join(letters) for w in words for letters in product(*[sorted({x.lower(), x.upper()}) for x in w])
+    ]
+    return c.isin(spellings)
+
+
 def suppress_when(c: Column, condition: Column, width: int) -> Column:
     """Spaces when the value is null or the condition holds, else cleaned text of ``width``."""
     hidden = c.isNull() | F.coalesce(condition, F.lit(False))
