@@ -13,6 +13,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import join_on_struct
+
 # Up to this many listed terms are tested inside the row filter; longer lists
 # are matched by an equality join on the substrings of the distinct names.
 INLINE_TERMS = 200
@@ -37,7 +39,7 @@ def flag_if_in(
     """Indicator column: is the row's key among the lookup's keys? ``keys`` maps ours to theirs."""
     prefix = f"__{name}_"
     side = _key_side(lookup, keys, prefix)
-    joined = df.join(side, _matched(df, side, keys, prefix), "left")
+    joined = join_on_struct(df, side, {ours: f"{prefix}{i}" for i, ours in enumerate(keys)}, "left")
     hit = F.col(f"{prefix}0").isNotNull()
     return joined.select(*[df[c] for c in df.columns], F.when(hit, F.lit(yes)).otherwise(F.lit(no)).alias(name))
 
@@ -75,7 +77,7 @@ def _clean_terms(terms: DataFrame, term_column: str) -> DataFrame:
 
 
 def names_with_terms(df: DataFrame, column: str, terms: DataFrame, term_column: str) -> DataFrame:
-    """The distinct names (as ``name``) containing any listed term, without a cross join.
+    """The names (as ``name``, once per match) containing any listed term, without a cross join.
 
     Every distinct name is cut into its substrings of exactly the lengths that
     occur among the terms; a substring equal to a term is a match.
@@ -88,7 +90,7 @@ def names_with_terms(df: DataFrame, column: str, terms: DataFrame, term_column:
     parts = sized.withColumn("start", F.explode(starts)).select(
         "name", F.substring(F.col("name"), F.col("start"), F.col("size")).alias("part")
     )
-    return parts.join(listed, parts.part == listed.term, "left_semi").select("name").distinct()
+    return parts.join(listed, parts.part == listed.term, "left_semi").select("name")
 
 
 def flag_terms(
@@ -107,9 +109,8 @@ def flag_terms(
         for term in sorted(head):
             hit = hit | text.contains(term)
         return df.withColumn(name, F.coalesce(hit, F.lit(False)))
-    side = names_with_terms(df, column, terms, term_column).withColumnRenamed("name", "__name")
-    joined = df.join(side, df[column] == side["__name"], "left")
-    return joined.select(*[df[c] for c in df.columns], F.col("__name").isNotNull().alias(name))
+    side = names_with_terms(df, column, terms, term_column)
+    return flag_if_in(df, side, {column: "name"}, name, yes=True, no=False)
 
 
 def exclude_terms(

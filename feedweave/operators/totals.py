@@ -7,6 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import join_on_struct
+
 MONEY = "decimal(18,2)"
 
 
@@ -30,10 +32,8 @@ def total_per_group(
     if set(kept) == set(keys):
         return collapsed.withColumnRenamed("__part", name)
     totals = collapsed.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.sum("__part").alias(name))
-    match = F.lit(True)
-    for k in keys:
-        match = match & collapsed[k].eqNullSafe(totals[f"__{k}"])
-    return collapsed.join(totals, match).select(*[collapsed[c] for c in kept], name)
+    joined = join_on_struct(collapsed, totals, {k: f"__{k}" for k in keys})
+    return joined.select(*[collapsed[c] for c in kept], name)
 
 
 def daily_revenue(df: DataFrame, day: str, quantity: str, price: str) -> DataFrame:

@@ -21,6 +21,7 @@ from ..functions.privacy import KeyRing, publish_token
 from ..functions.text import is_filled
 from ..operators import filters, lookups
 from ..operators.dedupe import dedupe_keys, latest_per_key
+from ..operators.joins import join_on_struct
 from ..operators.totals import MONEY, total_per_group
 from ..sources.writers import write_with_manifest
 
@@ -138,9 +139,10 @@ def online_ids(identity: DataFrame) -> DataFrame:
     )
     online = open_rows.filter(F.col("cust_src_cd") == fixed.ONLINE_SOURCE)
     newest = latest_per_key(online, ["mid"], "dna_update_dttm", ["cust_src_id"]).select(
-        "mid", F.col("cust_src_id").alias("ECOMM_ID")
+        F.col("mid").alias("online_mid"), F.col("cust_src_id").alias("ECOMM_ID")
     )
-    return loyalty.join(newest.filter(F.col("ECOMM_ID").isNotNull()), "mid", "inner").select("LR_ID", "ECOMM_ID")
+    known = newest.filter(F.col("ECOMM_ID").isNotNull() & F.col("online_mid").isNotNull())
+    return join_on_struct(loyalty, known, {"mid": "online_mid"}).select("LR_ID", "ECOMM_ID")
 
 
 def attach_identity(lines: DataFrame, identity: DataFrame) -> DataFrame:

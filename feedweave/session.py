@@ -32,6 +32,8 @@ def build_session(
 ) -> SparkSession:
     """A session with UTC timestamps and the runtime settings above."""
     builder = SparkSession.builder.appName(app_name).config("spark.sql.session.timeZone", "UTC")
+    # wide records are many column expressions; recording the call site of each slows planning
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     for key, value in {**RUNTIME_CONF, **(conf or {})}.items():

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from feedweave.catalog import QUERIES
 from feedweave.catalog.registry import Tables
 from feedweave.functions.dates import compact_date_window
+from feedweave.operators.lookups import exclude_if_in, flag_if_in
+from feedweave.operators.totals import total_per_group
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -44,3 +46,37 @@ def test_raw_date_filter_reaches_the_reader(spark, tmp_path):
 def test_scans_read_only_needed_columns(spark):
     text = plan(QUERIES["dedup_rows"](spark, FOLDER))
     assert re.search(r"ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint,l_returnflag:string,l_linestatus:string>", text)
+
+
+def test_hot_keys_are_split(spark):
+    """One key holds most rows: adaptive execution splits it, and the result stays right."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "30KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    rows = spark.range(0, 60000, 1, 8).selectExpr(
+        "CASE WHEN id % 3 > 0 THEN 0 ELSE id % 500 END AS k", "id AS rest", "1 AS qty"
+    )
+    lookup = spark.range(0, 500, 2).toDF("id")
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        for df in (
+            total_per_group(rows, ["k"], "qty", "total"),
+            flag_if_in(rows, lookup, {"k": "id"}, "hit"),
+            exclude_if_in(rows, lookup, {"k": "id"}),
+        ):
+            df.write.format("noop").mode("overwrite").save()
+            collected = df.collect()
+            assert "skewed" in plan(df), plan(df)
+        total = {r.k: r.total for r in total_per_group(rows, ["k"], "qty", "total").collect()}
+        assert sum(total.values()) == 60000 and total[0] > 40000
+        assert len(collected) == rows.filter("k % 2 = 1").count()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
