@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedweave.llm import bpe, mixing, simhash, toxicity
+from feedweave.llm import bpe, htmltext, kdshard, licenses, mixing, simhash, topk, toxicity, vecdedup, warc
 
 # Production parameters.
+TOP, SCALE = 20, 64
+COSINE = 0.95
+SHARDS = 16
 TARGET_WEIGHTS = {f"src{k}": 20 - k for k in range(20)}
 OTHER_WEIGHT = 5
 SHINGLE_WORDS = 3
@@ -29,6 +32,31 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("id") % 20 == 0, TOP, SCALE)
+
+
+ORACLES["op1_topk"] = f"""
+WITH v AS (
+    SELECT vec_id, [CAST(floor({SCALE} * CAST(x AS double)) AS bigint) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_inner_product(CAST(q.v AS double[]), CAST(c.v AS double[])) AS bigint) AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS integer) AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {TOP}
+"""
+
+
 @query
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -60,6 +88,73 @@ def token_digests(decoded: DataFrame) -> DataFrame:
     )
 
 
+@query
+def op4_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.with_licenses(table(spark, folder, "documents"))
+
+
+@query
+def op5_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vecdedup.near_duplicates(table(spark, folder, "embeddings"), threshold=COSINE)
+
+
+ORACLES["op5_vector_dedup"] = f"""
+WITH RECURSIVE usable AS (
+    SELECT vec_id, CAST(embedding AS double[]) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+      AND len([x FOR x IN embedding IF x <> 0]) > 0
+),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.v, b.v) >= {COSINE}
+),
+reach AS (
+    SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, least(e.vec_id, coalesce(m.b, e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(m.b, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN counts c ON c.a = e.vec_id LEFT JOIN least m ON m.a = e.vec_id
+"""
+
+
+@query
+def op6_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = htmltext.main_text(table(spark, folder, "pages"))
+    return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    archives = warc.archive_folder(spark)
+    directory = warc.write(pages, archives)
+    found = warc.lookup(pages.select(warc.surt(F.col("url")).alias("key")), directory, archives, with_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op7_warc"] = f"""
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS digest,
+           octet_length(encode(coalesce(html, ''))) AS n
+    FROM pages
+),
+r AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM p)
+SELECT page_id, CAST(n AS bigint) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= {warc.LEAST_REVISIT_BYTES} AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= {warc.LEAST_REVISIT_BYTES} AND page_id <> first THEN first END AS refers_to
+FROM r
+"""
+
+
+@query
+def op8_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = kdshard.shard(table(spark, folder, "documents"), shards=SHARDS)
+    none = F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", none)
+
+
 @query
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
