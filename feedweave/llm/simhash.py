@@ -97,7 +97,7 @@ def _linked(members: np.ndarray, free: tuple[int, ...], near: np.ndarray) -> Ite
             a, b = root(i), root(int(at[i]))
             if a != b:
                 parent[b] = a
-                yield int(members[a]), int(members[b])
+                yield int(members[i]), int(members[at[i]])
 
 
 def links(prints: DataFrame, fingerprint: str = "fingerprint", distance: int = 2) -> DataFrame:
@@ -186,8 +186,8 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shin
     lone = docs.where(F.col(id_col).isNull())
     lone = with_fingerprint(lone, text, "__f", shingle_words)
     open_groups = found.where("component_id is null").select("fingerprint").distinct()
-    nodes = open_groups.select(F.conv("fingerprint", 16, -10).cast("long").alias("f"))
-    groups = connected_components(links(nodes, "f", distance), "src", "dst")
-    label = nodes.join(groups, F.col("f") == F.col("node"), "left").select("f", F.coalesce("component", "f").alias("__c"))
-    lone = lone.join(label, F.col("__f") == F.col("f")).dropDuplicates(["__c"]).select(docs.columns)
+    nodes = open_groups.select(F.conv("fingerprint", 16, -10).cast("long").alias("__n"))
+    groups = connected_components(links(nodes, "__n", distance), "src", "dst")
+    label = nodes.join(groups, F.col("__n") == F.col("node"), "left").select("__n", F.coalesce("component", "__n").alias("__c"))
+    lone = lone.join(label, F.col("__f") == F.col("__n")).dropDuplicates(["__c"]).select(docs.columns)
     return with_id.unionByName(lone)
