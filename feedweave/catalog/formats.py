@@ -15,6 +15,7 @@ from ..functions.fixed_values import (
     TIME_PATTERN,
 )
 from ..operators.lookups import attach_override
+from ..plans.purchase_feed import feed_shape
 from . import duck
 from .registry import Tables, query
 
@@ -342,7 +343,7 @@ def prj_substring_code(t: Tables):
 
 @query(
     "prj_feed_shape",
-    "SELECT cast(o_custkey AS VARCHAR) AS user_id, l_orderkey AS event_id, cast(l_quantity AS BIGINT) AS event_item_quantity, "
+    "SELECT DISTINCT cast(o_custkey AS VARCHAR) AS user_id, l_orderkey AS event_id, cast(l_quantity AS BIGINT) AS event_item_quantity, "
     "p_brand AS event_item_id, cast(l_extendedprice AS DECIMAL(18,2)) AS event_item_price, "
     "cast(o_orderdate AS DATE) AS event_timestamp, l_suppkey AS store_id "
     "FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey",
@@ -351,12 +352,9 @@ def prj_feed_shape(t: Tables):
     joined = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         t.part, F.col("l_partkey") == F.col("p_partkey")
     )
-    return joined.select(
-        F.col("o_custkey").cast("string").alias("user_id"),
-        F.col("l_orderkey").alias("event_id"),
-        F.col("l_quantity").cast("bigint").alias("event_item_quantity"),
-        F.col("p_brand").alias("event_item_id"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("event_item_price"),
-        F.col("o_orderdate").cast("date").alias("event_timestamp"),
-        F.col("l_suppkey").alias("store_id"),
+    items = joined.selectExpr(
+        "cast(o_custkey AS string) AS ECOMM_ID", "l_orderkey AS RFN", "cast(l_quantity AS bigint) AS QTY", "p_brand AS SKU_ID",
+        "cast(l_extendedprice AS decimal(18,2)) AS PRICE", "date_format(o_orderdate, 'yyyyMMdd') AS SALES_TXN_DT",
+        "l_suppkey AS STORE_NBR",
     )
+    return feed_shape(items).withColumn("event_timestamp", F.col("event_timestamp").cast("date"))

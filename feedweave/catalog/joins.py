@@ -1,39 +1,50 @@
 """Joins of the purchase feed and the extract, over the test tables."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..operators import lookups
 from ..plans import purchase_feed
+from ..plans.purchase_feed import Settings
+from . import feeds, shapes
 from .registry import Tables, query
 from .shapes import CODES, NAME_PART, identity
 
-LINE = "cast(l_extendedprice AS decimal(18,2)) AS price"
+WINDOW = Settings(dt.date(1990, 1, 1), dt.date(2020, 12, 31))
+SALES = f"lineitem JOIN orders ON l_orderkey = o_orderkey WHERE {shapes.KEPT_SALES}"
+LINE_SHAPE = (
+    "cast(l_orderkey AS VARCHAR) AS rfn, l_partkey AS upc, cast(l_linenumber AS INTEGER) AS line, "
+    "cast(l_quantity AS INTEGER) AS qty, cast(l_extendedprice AS DECIMAL(18,2)) AS price, cast(o_custkey AS VARCHAR) AS loyalty_id"
+)
 
 
-@query(
-    "join_line_header",
-    "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, "
-    "cast(l_extendedprice AS DECIMAL(18,2)) AS price, o_custkey AS loyalty_id "
-    "FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity >= 0",
-)
+def _loyalty_lines(t: Tables):
+    return purchase_feed.loyalty_lines(purchase_feed.sales_in_window(shapes.sales(t), WINDOW))
+
+
+def _shown(lines, *more):
+    return lines.select(
+        F.col("RFN").alias("rfn"), F.col("UPC_NBR").alias("upc"), F.col("LINE_ITEM_SEQ_NBR").alias("line"),
+        F.col("UNIT_QTY").alias("qty"), F.col("PRICE").alias("price"), F.col("LOYALTY_ID").alias("loyalty_id"), *more,
+    )
+
+
+# every header stands there twice and must not repeat its lines
+@query("join_line_header", f"SELECT {LINE_SHAPE}, cast(l_suppkey AS VARCHAR) AS site FROM {SALES}")
 def join_line_header(t: Tables):
-    keys = ["l_orderkey", "l_suppkey", "day"]
-    days = t.orders.selectExpr("o_orderkey", "cast(o_orderdate AS date) AS day", "o_custkey AS loyalty_id")
-    dated = t.lineitem.join(days, F.col("l_orderkey") == F.col("o_orderkey"))
-    headers = dated.select(*keys, "loyalty_id").distinct()
-    lines = dated.filter("l_quantity >= 0").selectExpr(*keys, "l_linenumber", "l_partkey", LINE)
-    return lines.join(headers, keys, "inner").drop("day")
+    return _shown(_loyalty_lines(t), F.col("STORE_NBR").alias("site"))
 
 
 @query(
     "join_store_map",
-    "SELECT l_orderkey, l_linenumber, l_partkey, s_nationkey AS store_number FROM lineitem "
-    "JOIN supplier ON l_suppkey = s_suppkey",
+    f"SELECT {LINE_SHAPE}, cast(s_suppkey AS INTEGER) AS store FROM lineitem JOIN orders ON l_orderkey = o_orderkey "
+    f"JOIN supplier ON l_suppkey = s_suppkey WHERE {shapes.KEPT_SALES} AND s_nationkey <> 3 AND s_suppkey % 11 <> 0",
 )
 def join_store_map(t: Tables):
-    stores = t.supplier.select("s_suppkey", F.col("s_nationkey").alias("store_number"))
-    joined = t.lineitem.join(stores, F.col("l_suppkey") == F.col("s_suppkey"), "inner")
-    return joined.select("l_orderkey", "l_linenumber", "l_partkey", "store_number")
+    tables = feeds.purchase_tables(t)
+    located = purchase_feed.mapped_stores(_loyalty_lines(t), tables.store_map, tables.stores, feeds.purchase_settings())
+    return _shown(located, F.col("STORE_NBR").alias("store"))
 
 
 @query(
@@ -90,48 +101,44 @@ def flag_from_lookup(t: Tables):
     return rows.withColumn("free_goods", both).drop("by_plan", "by_product")
 
 
-@query(
-    "join_product_dim",
-    """
-    SELECT m.p_partkey AS article, m.p_size AS op_study, b.p_brand AS wic, c.p_name AS category
-    FROM part m JOIN part b ON m.p_partkey = b.p_partkey AND m.p_type = b.p_type
-    JOIN part c ON b.p_partkey = c.p_partkey
-    """,
+SKUS = (
+    "SELECT cast(p_partkey AS VARCHAR) AS article, p_partkey AS upc, sku FROM part "
+    "JOIN (SELECT p_partkey AS part, p_brand AS sku FROM part UNION SELECT p_partkey, p_type FROM part WHERE p_size % 2 = 0) "
+    "ON part = p_partkey WHERE p_size NOT IN (7, 17, 21) AND p_name NOT LIKE '%ring%'"
 )
+
+
+@query("join_product_dim", SKUS)
 def join_product_dim(t: Tables):
-    master = t.part.selectExpr("p_partkey AS article", "p_type AS upc", "p_size AS op_study").distinct()
-    articles = t.part.selectExpr(
-        "p_partkey AS article", "p_type AS upc", "p_brand AS wic", "p_partkey AS upc_without_check"
-    ).distinct()
-    category = t.part.selectExpr("p_partkey AS category_upc", "p_name AS category").distinct()
-    both = master.join(articles, ["article", "upc"], "inner")
-    full = both.join(category, both.upc_without_check == category.category_upc, "inner")
-    return full.select("article", "op_study", "wic", "category")
+    products = purchase_feed.sellable_products(feeds.purchase_tables(t), feeds.purchase_settings())
+    return products.select(
+        F.col("ARTICLE_NBR").alias("article"), F.col("UPC_NBR").alias("upc"), F.col("SKU_ID").alias("sku")
+    )
 
 
+def _with_products(t: Tables):
+    rows = t.lineitem.selectExpr(
+        "l_orderkey", "l_linenumber", "l_partkey", "cast(l_partkey AS string) AS ARTICLE_NBR", "l_partkey AS UPC_NBR"
+    )
+    return purchase_feed.with_products(rows, feeds.purchase_tables(t), feeds.purchase_settings())
+
+
+# the facts that have a sellable product, each once
 @query(
     "join_fact_product",
-    "SELECT l_orderkey, l_linenumber, l_partkey, p_size AS op_study, p_name AS category "
-    "FROM lineitem JOIN part ON l_partkey = p_partkey",
+    f"SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem JOIN ({SKUS}) ON upc = l_partkey",
 )
 def join_fact_product(t: Tables):
-    products = t.part.selectExpr("p_partkey AS l_partkey", "p_size AS op_study", "p_name AS category")
-    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey").join(products, ["l_partkey"], "inner")
+    return _with_products(t).select("l_orderkey", "l_linenumber", "l_partkey").distinct()
 
 
 # an assortment with several SKUs per article: it multiplies rows on purpose
 @query(
     "join_assortment",
-    """
-    SELECT l_orderkey, l_linenumber, l_partkey, sku FROM lineitem
-    JOIN (SELECT p_partkey, p_brand AS sku FROM part WHERE p_size % 2 = 0
-          UNION SELECT p_partkey, p_type FROM part WHERE p_size % 2 = 0) ON l_partkey = p_partkey
-    """,
+    f"SELECT l_orderkey, l_linenumber, l_partkey, sku FROM lineitem JOIN ({SKUS}) ON upc = l_partkey",
 )
 def join_assortment(t: Tables):
-    active = t.part.filter("p_size % 2 = 0")
-    skus = active.selectExpr("p_partkey AS l_partkey", "explode(array(p_brand, p_type)) AS sku").distinct()
-    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey").join(skus, ["l_partkey"], "inner")
+    return _with_products(t).select("l_orderkey", "l_linenumber", "l_partkey", F.col("SKU_ID").alias("sku"))
 
 
 @query(

@@ -4,9 +4,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..functions.dates import two_day_window
+from ..functions.dates import compact_date_window
 from ..functions.text import is_filled
 from ..operators import filters, lookups
+from ..plans import purchase_feed
+from . import shapes
 from .registry import Tables, query
 from .shapes import CODES, NAME_PART
 
@@ -19,21 +21,49 @@ RUN_DATE = dt.date(1996, 6, 2)
     "WHERE cast(o_orderdate AS DATE) BETWEEN DATE '1996-06-01' AND DATE '1996-06-02'",
 )
 def window_two_day(t: Tables):
-    rows = t.orders.filter(two_day_window(F.col("o_orderdate"), RUN_DATE))
+    """The feed's own window, on raw text."""
+    cfg = purchase_feed.Settings.for_run(RUN_DATE)
+    text = t.orders.selectExpr("o_orderkey", "o_orderdate", "date_format(o_orderdate, 'yyyyMMdd') AS day")
+    rows = text.filter(compact_date_window(F.col("day"), cfg.first_day, cfg.last_day))
     return rows.select("o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate"))
 
 
+IN_WINDOW = (
+    "FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey % 17 <> 0 AND l_orderkey % 23 <> 0 "
+    "AND cast(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"
+)
+SALE = "cast(l_orderkey AS VARCHAR) AS rfn, cast(l_suppkey AS VARCHAR) AS site"
+WINDOW = purchase_feed.Settings(dt.date(1996, 1, 1), dt.date(1996, 12, 31))
+
+
 @query(
     "flt_record_type",
-    "SELECT 1000 AS recordtyp, o_orderkey AS rfn, o_totalprice AS amount FROM orders "
-    "UNION ALL SELECT 1100, l_orderkey, l_extendedprice FROM lineitem",
+    f"""
+    SELECT 1100 AS kind, {SALE}, l_partkey AS upc,
+      cast(CASE WHEN l_quantity = 13 THEN -l_quantity ELSE l_quantity END AS INTEGER) AS qty {IN_WINDOW} AND l_quantity <> 15
+    UNION ALL SELECT 1000, rfn, site, NULL, NULL
+    FROM (SELECT DISTINCT {SALE}, o_custkey {IN_WINDOW}) CROSS JOIN (VALUES (1), (2)) AS twice(n)
+    """,
 )
 def flt_record_type(t: Tables):
-    header = t.orders.selectExpr("1000 AS recordtyp", "o_orderkey AS rfn", "o_totalprice AS amount")
-    line = t.lineitem.selectExpr("1100 AS recordtyp", "l_orderkey AS rfn", "l_extendedprice AS amount")
-    other = t.customer.selectExpr("1200 AS recordtyp", "c_custkey AS rfn", "c_acctbal AS amount")
-    records = header.unionByName(line).unionByName(other)
-    return records.filter(F.col("recordtyp").isin(1000, 1100))
+    """Typed sales of the window: other record types, blank ids and dates that do not exist leave."""
+    return purchase_feed.sales_in_window(shapes.sales(t), WINDOW).select(
+        F.col("RECORDTYP").alias("kind"), F.col("RFN").alias("rfn"), F.col("STORE_NBR").alias("site"),
+        F.col("UPC_NBR").alias("upc"), F.col("UNIT_QTY").alias("qty"),
+    )
+
+
+@query(
+    "flt_non_negative",
+    f"SELECT {SALE}, cast(l_linenumber AS INTEGER) AS line, cast(l_quantity AS INTEGER) AS qty {IN_WINDOW} "
+    "AND l_quantity NOT IN (13, 15) AND o_custkey % 19 <> 0",
+)
+def flt_non_negative(t: Tables):
+    lines = purchase_feed.loyalty_lines(purchase_feed.sales_in_window(shapes.sales(t), WINDOW))
+    return lines.select(
+        F.col("RFN").alias("rfn"), F.col("STORE_NBR").alias("site"), F.col("LINE_ITEM_SEQ_NBR").alias("line"),
+        F.col("UNIT_QTY").alias("qty"),
+    )
 
 
 SEGMENT = "CASE c_mktsegment WHEN 'BUILDING' THEN NULL WHEN 'MACHINERY' THEN '   ' ELSE c_mktsegment END"
@@ -47,15 +77,6 @@ def flt_non_blank(t: Tables):
     return t.customer.selectExpr("c_custkey", f"{SEGMENT} AS segment").filter(is_filled(F.col("segment")))
 
 
-@query(
-    "flt_non_negative",
-    "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity - 10 AS net_qty FROM lineitem WHERE l_quantity - 10 >= 0",
-)
-def flt_non_negative(t: Tables):
-    rows = t.lineitem.selectExpr("l_orderkey", "l_linenumber", "l_partkey", "l_quantity - 10 AS net_qty")
-    return rows.filter(F.col("net_qty") >= 0)
-
-
 ORDER_HOLES = (
     "o_orderkey, o_custkey, nullif(o_orderstatus, 'P') AS status, "
     "nullif(o_orderpriority, '5-LOW') AS priority, nullif(o_custkey % 10, 3) AS bucket"
@@ -110,7 +131,7 @@ def excl_region(t: Tables):
 
 
 NAMES = "CASE p_size WHEN 1 THEN NULL WHEN 2 THEN '' ELSE p_name END"
-TERM_ROWS = ("('ring')", "(' cold g ')", "('')", "(NULL)")
+TERM_ROWS = ("('ring')", "('cold g')", "(' ring ')", "('')", "(NULL)")
 
 
 def _named_parts(t: Tables):
@@ -134,7 +155,7 @@ def excl_terms(t: Tables):
 )
 def excl_terms_by_join(t: Tables):
     terms = t.part.filter("p_brand = 'Brand#5'").select(F.col("p_name").alias("term"))
-    return lookups.exclude_terms(_named_parts(t), "name", terms, "term", inline_terms=0)
+    return lookups.exclude_terms(_named_parts(t), "name", terms, "term")
 
 
 @query(

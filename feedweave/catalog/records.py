@@ -3,14 +3,14 @@
 from pyspark.sql import functions as F
 
 from ..functions import numbers, text
-from ..operators.layout import Field, Layout, split_by_layout
+from ..operators.layout import REJECTED, Field, Layout, layout_status
 from . import duck
 from .registry import Tables, query
 
 ORDER_LAYOUT = Layout(
     (
         Field("order", 15, ("o_orderkey",), lambda ctx, w, c: numbers.offset_key_or_zeros(c.cast("string"), 152, w), True),
-        Field("status", 1, ("status",), lambda ctx, w, c: c),
+        Field("status", 1, ("status",), lambda ctx, w, c: c, True),
         Field("priority", 8, ("o_orderpriority",), lambda ctx, w, c: text.clean_pad(c, w)),
         Field("blank", 3, (), lambda ctx, w: text.filler(w)),
         Field("kind", 2, (), lambda ctx, w: text.constant("12", w)),
@@ -50,17 +50,18 @@ def fixed_width_record(t: Tables):
     return ORDER_LAYOUT.record(_lines(t), carry=KEY)
 
 
+CHECKED = f"SELECT fixedlength, strlen(fixedlength) = 47 AND price < 1000000 AS ok FROM ({RECORD})"
+
+
 @query(
     "layout_split",
     f"""
-    SELECT fixedlength, 'valid' AS part, cast(NULL AS INTEGER) AS encode FROM ({RECORD}) WHERE strlen(fixedlength) = 47
-    UNION ALL
-    SELECT fixedlength, 'reject', cast(strlen(fixedlength) AS INTEGER) FROM ({RECORD}) WHERE strlen(fixedlength) <> 47
+    SELECT fixedlength, CASE WHEN ok THEN 'valid' ELSE 'reject' END AS part,
+      CASE WHEN NOT ok THEN cast(strlen(fixedlength) AS INTEGER) END AS encode FROM ({CHECKED})
     """,
 )
 def layout_split(t: Tables):
-    records = ORDER_LAYOUT.record(_lines(t)).select("fixedlength")
-    valid, rejects = split_by_layout(records, ORDER_LAYOUT.width)
-    return valid.select("fixedlength", F.lit("valid").alias("part"), F.lit(None).cast("int").alias("encode")).unionByName(
-        rejects.select("fixedlength", F.lit("reject").alias("part"), "encode")
+    part = layout_status()
+    return ORDER_LAYOUT.record(_lines(t)).select(
+        "fixedlength", part.alias("part"), F.when(part == REJECTED, F.col("encode")).alias("encode")
     )

@@ -7,6 +7,7 @@ stated once and both engines derive the same rows from the same tables.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,37 +22,52 @@ NAME_PART = "ring"
 REGION = 3
 
 
+# the sales that each filter of the feed is there for
+KEPT_SALES = "l_quantity NOT IN (13, 15) AND l_orderkey % 17 <> 0 AND l_orderkey % 23 <> 0 AND o_custkey % 19 <> 0"
+
+
 def sales(t: Tables) -> DataFrame:
-    """Item lines, and a loyalty header for each order and store."""
-    day = "date_format(o_orderdate, 'yyyyMMdd') AS SALES_TXN_DT"
+    """Item lines, and a loyalty header, twice, for each order and store.
+
+    Some lines have negative quantities or another record type, some transactions no
+    id, no loyalty id, or a date that does not exist.
+    """
+    day = "CASE WHEN l_orderkey % 23 = 0 THEN '19960231' ELSE date_format(o_orderdate, 'yyyyMMdd') END AS SALES_TXN_DT"
     both = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
-        "cast(l_orderkey AS string) AS RFN", day, "cast(l_suppkey AS string) AS STORE_NBR",
-        "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "cast(o_custkey AS string) AS loyalty_id",
+        "CASE WHEN l_orderkey % 17 = 0 THEN ' ' ELSE cast(l_orderkey AS string) END AS RFN", day, "cast(l_suppkey AS string) AS STORE_NBR",
+        "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "CASE WHEN o_custkey % 19 = 0 THEN ' ' ELSE cast(o_custkey AS string) END AS loyalty_id",
     )
     lines = both.selectExpr(
-        "1100 AS RECORDTYP", "RFN", "SALES_TXN_DT", "STORE_NBR", "cast(l_partkey AS string) AS UPC_NBR",
+        "CASE WHEN l_quantity = 15 THEN 1200 ELSE 1100 END AS RECORDTYP", "RFN", "SALES_TXN_DT", "STORE_NBR", "cast(l_partkey AS string) AS UPC_NBR",
         "cast(l_partkey AS string) AS ARTICLE_NBR", "cast(l_linenumber AS string) AS LINE_ITEM_SEQ_NBR",
-        "cast(l_quantity AS string) AS UNIT_QTY", "l_extendedprice AS ITEM_UNIT_PRICE_DLRS", "'' AS loyalty_id",
+        "cast(CASE WHEN l_quantity = 13 THEN -l_quantity ELSE l_quantity END AS string) AS UNIT_QTY", "l_extendedprice AS ITEM_UNIT_PRICE_DLRS", "'' AS loyalty_id",
     )
     headers = both.select("RFN", "SALES_TXN_DT", "STORE_NBR", "loyalty_id").distinct().selectExpr(
         "1000 AS RECORDTYP", "RFN", "SALES_TXN_DT", "STORE_NBR", "cast(NULL AS string) AS UPC_NBR",
         "cast(NULL AS string) AS ARTICLE_NBR", "cast(NULL AS string) AS LINE_ITEM_SEQ_NBR",
         "cast(NULL AS string) AS UNIT_QTY", "cast(NULL AS double) AS ITEM_UNIT_PRICE_DLRS", "loyalty_id",
     )
-    return lines.unionByName(headers)
+    return lines.unionByName(headers).unionByName(headers)
 
 
 def identity(t: Tables) -> DataFrame:
-    """Loyalty ids from customers, online ids from purchase events of the same person."""
-    loyalty = t.customer.selectExpr(
-        "c_custkey AS mid", "'LR' AS cust_src_cd", "cast(c_custkey AS string) AS cust_src_id",
-        "timestamp_ntz'2024-01-01 00:00:00' AS dna_update_dttm", "'9999-12-31 00:00:00' AS dna_end_dttm",
-    )
-    online = t.events.filter("event_type = 'purchase'").selectExpr(
-        "user_id AS mid", "'EC' AS cust_src_cd", "cast(event_id AS string) AS cust_src_id",
-        "ts AS dna_update_dttm", "'9999-12-31 00:00:00' AS dna_end_dttm",
-    )
-    return loyalty.unionByName(online)
+    """Loyalty ids from customers, online ids from purchase events of the same person.
+
+    Every customer also has a closed row under another person, other events are closed
+    online rows, and open rows of another source.
+    """
+    rows = ["{0} AS mid", "'{1}' AS cust_src_cd", "{2} AS cust_src_id", "{3} AS dna_update_dttm", "'{4} 00:00:00' AS dna_end_dttm"]
+    shape = lambda *values: [r.format(*values) for r in rows]
+    new, open_, closed = "timestamp_ntz'2024-01-01 00:00:00'", "9999-12-31", "2001-01-01"
+    other = t.events.filter("event_type <> 'purchase'")
+    parts = [
+        t.customer.selectExpr(*shape("c_custkey", "LR", "cast(c_custkey AS string)", new, open_)),
+        t.customer.selectExpr(*shape("c_custkey + 1", "LR", "cast(c_custkey AS string)", new, closed)),
+        t.events.filter("event_type = 'purchase'").selectExpr(*shape("user_id", "EC", "cast(event_id AS string)", "ts", open_)),
+        other.selectExpr(*shape("user_id", "EC", "cast(event_id AS string)", new, closed)),
+        other.selectExpr(*shape("user_id", "ZZ", "cast(event_id AS string)", new, open_)),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- claims ----------------------------------------------------------------

@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from ..operators.layout import split_by_layout
+from ..operators.layout import REJECTED, layout_status
 from ..session import scratch_path
 from ..sources import readers, writers
-from .records import ORDER_LAYOUT, RECORD, _lines
+from .records import CHECKED, ORDER_LAYOUT, RECORD, _lines
 from .registry import Tables, query
 
 
@@ -48,12 +48,12 @@ def snk_fixed_width(t: Tables):
 
 @query(
     "snk_rejects",
-    f"SELECT fixedlength, cast(strlen(fixedlength) AS INTEGER) AS encode FROM ({RECORD}) WHERE strlen(fixedlength) <> 47",
+    f"SELECT fixedlength, cast(strlen(fixedlength) AS INTEGER) AS encode FROM ({CHECKED}) WHERE NOT ok",
 )
 def snk_rejects(t: Tables):
     path = scratch_path(t.spark, "rejects")
-    rejects = split_by_layout(ORDER_LAYOUT.record(_lines(t)).select("fixedlength"), ORDER_LAYOUT.width)[1]
-    writers.write_rejects(rejects, path)
+    records = ORDER_LAYOUT.record(_lines(t)).withColumn("part", layout_status())
+    writers.write_rejects(records.filter(F.col("part") == REJECTED).select("fixedlength", "encode"), path)
     back = readers.read_delimited(t.spark, path, ["fixedlength", "encode"], sep=",")
     return back.withColumn("encode", F.col("encode").cast("int"))
 
@@ -84,11 +84,13 @@ LINE = (
     f"sum(('0x' || substr(md5({LINE}), 1, 8))::UBIGINT)::DECIMAL(38,0) AS checksum FROM lineitem",
 )
 def snk_manifest(t: Tables):
-    return writers.manifest(
-        t.lineitem.selectExpr(
-            "l_orderkey", "l_linenumber", "cast(l_extendedprice AS decimal(18,2)) AS price", "l_returnflag"
-        )
+    path = scratch_path(t.spark, "manifest")
+    rows = t.lineitem.selectExpr(
+        "l_orderkey", "l_linenumber", "cast(l_extendedprice AS decimal(18,2)) AS price", "l_returnflag"
     )
+    writers.write_with_manifest(t.spark, rows, path)
+    back = t.spark.read.json(f"{path}_manifest")
+    return back.select("rows", "rows_with_header", F.col("checksum").cast("decimal(38,0)").alias("checksum"))
 
 
 @query("snk_readback", "SELECT count(*) AS expected, count(*) AS found, TRUE AS ok FROM customer")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..operators import quality, state
 from ..operators import totals as ops
 from ..operators.dedupe import dedupe_keys, latest_per_key
+from ..session import scratch_path
 from .registry import Tables, query
 
 
@@ -192,8 +193,9 @@ def state_pending(t: Tables):
       CASE WHEN touched THEN 'Y' ELSE transformation_complition_flag END AS transformation_complition_flag,
       CASE WHEN touched AND o_custkey % 3 <> 0 THEN o_custkey ELSE master_straight_record_count END
         AS master_straight_record_count
-    FROM ({STATE}) JOIN (SELECT 'landing/' || cast(o_orderkey AS string) || '.dat' AS path, o_custkey,
-      o_orderstatus = 'O' AS touched FROM orders) ON path = extract_landing_path
+    FROM (SELECT *, o_orderstatus = 'O' AND extract_landing_flag = 'Y' AND extract_prcsd_flag = 'N' AS touched
+      FROM ({STATE}) JOIN (SELECT 'landing/' || cast(o_orderkey AS string) || '.dat' AS path, o_custkey,
+        o_orderstatus FROM orders) ON path = extract_landing_path)
     """,
 )
 def state_upsert(t: Tables):
@@ -203,7 +205,12 @@ def state_upsert(t: Tables):
         "'Y' AS transformation_complition_flag",
         "CASE WHEN o_custkey % 3 <> 0 THEN o_custkey END AS master_straight_record_count",
     )
-    return state.apply_state(_state(t), changes).select(
+    root = scratch_path(t.spark, "state")
+    state.write_state(t.spark, _state(t), root)
+    # two commits, the second on top of the first; processed rows with the same key keep their values
+    state.commit_changes(t.spark, changes.filter("extract_name < '3'"), root)
+    state.commit_changes(t.spark, changes.filter("extract_name >= '3'"), root)
+    return state.read_state(t.spark, root).select(
         "extract_name", "extract_landing_path", "extract_prcsd_flag", "transformation_complition_flag",
         "master_straight_record_count",
     )

@@ -43,13 +43,14 @@ def clamp_abs(c: Column, cap: int = 99) -> Column:
 def offset_key(c: Column, offset: int, width: int, side: str, fill: str, cleaned: bool = True) -> Column:
     """Add ``offset`` to an integer key. Null when the text is no number.
 
-    Of more than 37 digits the first 37 are used: too wide for any field, so the
-    layout check rejects the record.
+    A number of more than 37 digits is beyond exact arithmetic and returned unchanged: it is
+    too wide for any field, so the layout check rejects the record and the reject shows it whole.
     """
     text = F.ltrim(clean(c)) if cleaned else F.trim(c)
-    whole = F.substring(F.substring_index(text, ".", 1), 1, 37)
+    whole = F.substring_index(text, ".", 1)
     shifted = (whole.try_cast("decimal(37,0)") + F.lit(offset)).cast("string")
-    return pad_or_overflow(shifted, width, side, fill)
+    huge = F.when((F.length(whole) > 37) & whole.rlike("^[+-]?[0-9]+$"), whole)
+    return pad_or_overflow(F.coalesce(shifted, huge), width, side, fill)
 
 
 def offset_key_or_zeros(c: Column, offset: int, width: int) -> Column:
@@ -59,11 +60,12 @@ def offset_key_or_zeros(c: Column, offset: int, width: int) -> Column:
 def hex_id(c: Column, width: int) -> Column:
     """Decimal id to upper-case hexadecimal, padded right; null or no digits gives spaces.
 
-    ``conv`` raises beyond 64 bits, so of more than 19 digits the first 19 are
-    used: their hexadecimal form is already too wide for the field.
+    ``conv`` raises beyond 64 bits: an id of more than 19 digits is returned unchanged, which is
+    too wide for the field, so the record is rejected.
     """
-    digits = F.substring(F.regexp_replace(clean(c), "^0+(?=[0-9])", ""), 1, 19)
-    return pad_or_overflow(F.coalesce(F.conv(digits, 10, 16), F.lit("")), width, "right")
+    digits = F.regexp_replace(clean(c), "^0+(?=[0-9])", "")
+    shown = F.when(F.length(digits) > 19, digits).otherwise(F.conv(digits, 10, 16))
+    return pad_or_overflow(F.coalesce(shown, F.lit("")), width, "right")
 
 
 def quantity(c: Column, whole: int = 7, places: int = 3) -> Column:

@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 
 from .joins import join_on_struct
 
-# Up to this many listed terms are tested inside the row filter; longer lists
-# are matched by an equality join on the substrings of the distinct names.
-INLINE_TERMS = 200
-
 
 def _key_side(lookup: DataFrame, keys: Mapping[str, str], prefix: str) -> DataFrame:
     picked = [F.col(theirs).alias(f"{prefix}{i}") for i, theirs in enumerate(keys.values())]
@@ -61,69 +57,65 @@ def keep_if_in(df: DataFrame, lookup: DataFrame, keys: Mapping[str, str]) -> Dat
 
 
 def attach_override(df: DataFrame, lookup: DataFrame, key: Mapping[str, str], value: str, target: str) -> DataFrame:
-    """Replace ``target`` by the lookup's ``value`` for listed keys. Lookup keys must be unique."""
+    """Replace ``target`` by the lookup's ``value`` for listed keys.
+
+    Of several values for one key the least that is not null counts; null keys match nothing.
+    """
     prefix = "__o"
-    side = lookup.select(
+    named = lookup.select(
         *[F.col(t).alias(f"{prefix}{i}") for i, t in enumerate(key.values())], F.col(value).alias("__value")
     )
-    joined = df.join(side, _matched(df, side, key, prefix), "left")
+    keys = [f"{prefix}{i}" for i in range(len(key))]
+    side = named.na.drop(subset=keys).groupBy(*keys).agg(F.min("__value").alias("__value"))
+    joined = join_on_struct(df, side, dict(zip(key, keys)), "left")
     shown = {target: F.coalesce(F.col("__value"), df[target]).alias(target)}
     return joined.select(*[shown.get(c, df[c]) for c in df.columns])
 
 
-def _clean_terms(terms: DataFrame, term_column: str) -> DataFrame:
-    text = F.trim(F.col(term_column).cast("string")).alias("term")
+def _listed(terms: DataFrame, term_column: str) -> DataFrame:
+    text = F.col(term_column).cast("string").alias("term")
     return terms.select(text).filter(F.col("term") != "").distinct()
 
 
-def names_with_terms(df: DataFrame, column: str, terms: DataFrame, term_column: str) -> DataFrame:
-    """The names (as ``name``, once per match) containing any listed term, without a cross join.
+def _name_key(c: Column) -> Column:
+    """Stands for a text of any length in shuffles."""
+    return F.sha2(c, 256)
 
-    Every distinct name is cut into its substrings of exactly the lengths that
-    occur among the terms; a substring equal to a term is a match.
+
+def keys_with_terms(df: DataFrame, column: str, terms: DataFrame, term_column: str) -> DataFrame:
+    """The keys (as ``key``, once each) of the texts that contain any listed term, without a cross join.
+
+    Every distinct text is cut into its distinct substrings of exactly the lengths that occur
+    among the terms; a substring equal to a term is a match. The substrings travel
+    with a key of fixed size, never with the text.
     """
-    listed = _clean_terms(terms, term_column)
+    listed = _listed(terms, term_column)
     lengths = listed.agg(F.collect_set(F.length("term"))).scalar()
-    names = df.select(F.col(column).alias("name")).filter(F.col("name") != "").distinct()
-    sized = names.withColumn("size", F.explode(lengths)).filter(F.col("size") <= F.length("name"))
-    starts = F.sequence(F.lit(1), F.length("name") - F.col("size") + 1)
-    parts = sized.withColumn("start", F.explode(starts)).select(
-        "name", F.substring(F.col("name"), F.col("start"), F.col("size")).alias("part")
-    )
-    return parts.join(listed, parts.part == listed.term, "left_semi").select("name")
+    texts = df.select(F.col(column).alias("text")).filter(F.col("text") != "").distinct()
+    sized = texts.withColumn("key", _name_key(F.col("text"))).withColumn("size", F.explode(lengths))
+    sized = sized.filter(F.col("size") <= F.length("text"))
+    starts = F.sequence(F.lit(1), F.length("text") - F.col("size") + 1)
+    cut = F.transform(starts, lambda at: F.substring(F.col("text"), at, F.col("size")))
+    parts = sized.select("key", F.explode(F.array_distinct(cut)).alias("part"))
+    return parts.join(listed, parts.part == listed.term, "left_semi").select("key").distinct()
 
 
-def flag_terms(
-    df: DataFrame, column: str, terms: DataFrame, term_column: str, name: str, inline_terms: int = INLINE_TERMS
-) -> DataFrame:
+def flag_terms(df: DataFrame, column: str, terms: DataFrame, term_column: str, name: str) -> DataFrame:
     """Boolean column: does the text contain any listed term? Null and empty text: false.
 
-    Terms are literal and case-sensitive; an empty list matches nothing. Only the
-    bounded list (at most ``inline_terms`` + 1 rows) ever reaches the driver.
+    Terms are literal, case-sensitive and taken as they are listed, blanks at their ends
+    included; empty and null terms are dropped, and an empty list matches nothing.
     """
-    listed = _clean_terms(terms, term_column)
-    head = [r.term for r in listed.limit(inline_terms + 1).collect()]
-    if len(head) <= inline_terms:
-        text = F.col(column)
-        hit = F.lit(False)
-        for term in sorted(head):
-            hit = hit | text.contains(term)
-        return df.withColumn(name, F.coalesce(hit, F.lit(False)))
-    side = names_with_terms(df, column, terms, term_column)
-    return flag_if_in(df, side, {column: "name"}, name, yes=True, no=False)
-
-
-def exclude_terms(
-    df: DataFrame, column: str, terms: DataFrame, term_column: str, inline_terms: int = INLINE_TERMS
-) -> DataFrame:
+    side = keys_with_terms(df, column, terms, term_column)
+    keyed = df.withColumn("__text_key", _name_key(F.col(column)))
+    return flag_if_in(keyed, side, {"__text_key": "key"}, name, yes=True, no=False).drop("__text_key")
+
+
+def exclude_terms(df: DataFrame, column: str, terms: DataFrame, term_column: str) -> DataFrame:
     """Drop rows whose text contains a listed term; null and empty text stay."""
-    flagged = flag_terms(df, column, terms, term_column, "__hit", inline_terms)
-    return flagged.filter(~F.col("__hit")).drop("__hit")
+    return flag_terms(df, column, terms, term_column, "__hit").filter(~F.col("__hit")).drop("__hit")
 
 
-def count_terms(
-    df: DataFrame, column: str, terms: DataFrame, term_column: str, name: str, inline_terms: int = INLINE_TERMS
-) -> DataFrame:
+def count_terms(df: DataFrame, column: str, terms: DataFrame, term_column: str, name: str) -> DataFrame:
     """One row: how many rows contain a listed term."""
-    flagged = flag_terms(df, column, terms, term_column, "__hit", inline_terms)
-    return flagged.agg(F.count_if(F.col("__hit")).alias(name))
+    return flag_terms(df, column, terms, term_column, "__hit").agg(F.count_if(F.col("__hit")).alias(name))

@@ -33,6 +33,9 @@ def total_per_group(
         return collapsed.withColumnRenamed("__part", name)
     totals = collapsed.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.sum("__part").alias(name))
     joined = join_on_struct(collapsed, totals, {k: f"__{k}" for k in keys})
+    # always true; because it names the partial sum, both inputs of the join collapse the same
+    # columns, and Spark reads and shuffles the detail once for both
+    joined = joined.filter(F.col("__part").isNull() | F.col(name).isNotNull())
     return joined.select(*[collapsed[c] for c in kept], name)
 
 

@@ -12,9 +12,13 @@ from ..functions import fixed_values as fixed
 from ..functions.privacy import KeyRing
 from ..operators.filters import drop_null_tokens
 from ..sources.readers import read_cohorts
+from ..sources.storage import Store
 from ..sources.writers import verify_written, write_with_manifest
 
 
+STORED = "__stored"
+
+
 @dataclass(frozen=True)
 class Settings:
     from_key: str = fixed.CONTACT_KEY_ID
@@ -26,32 +30,62 @@ class Settings:
     keys: KeyRing | None = field(default=None, repr=False)
 
 
-def build(contacts: DataFrame, cfg: Settings) -> DataFrame:
-    """Rows with an e-mail; its token moves from one key to the other in one expression."""
+def swapped(contacts: DataFrame, cfg: Settings) -> DataFrame:
+    """Rows with an e-mail, its token moved from one key to the other in one expression.
+
+    A token that does not open is null afterwards. A missing contract column raises.
+    """
     if cfg.keys is None:
         raise ValueError("the contact feed needs the key ring")
+    missing = sorted(set(cfg.columns) - set(contacts.columns))
+    if missing:
+        raise ValueError(f"the contacts lack {', '.join(missing)}")
     named = drop_null_tokens(contacts, cfg.protected, cfg.null_words)
-    swapped = cfg.keys.reprotect(F.col(cfg.protected), cfg.from_key, cfg.to_key)
+    moved = cfg.keys.reprotect(F.col(cfg.protected), cfg.from_key, cfg.to_key)
     kept = [c for c in contacts.columns if c in set(cfg.columns) or c == "cohort"]
-    return named.withColumn(cfg.protected, swapped).select(*kept)
+    return named.select(*[moved.alias(c) if c == cfg.protected else F.col(c) for c in kept], F.col(cfg.protected).alias(STORED))
+
+
+def build(contacts: DataFrame, cfg: Settings) -> DataFrame:
+    """The rows to publish: those whose e-mail token opens."""
+    return swapped(contacts, cfg).filter(F.col(cfg.protected).isNotNull()).drop(STORED)
+
+
+def unreadable(contacts: DataFrame, cfg: Settings) -> DataFrame:
+    """Rows whose e-mail token does not open, with the token as it came."""
+    bad = swapped(contacts, cfg).filter(F.col(cfg.protected).isNull())
+    return bad.withColumn(cfg.protected, F.col(STORED)).drop(STORED)
 
 
 @dataclass(frozen=True)
 class Outcome:
-    """``status`` per cohort; manifest and read-back check, None when nothing was ready."""
+    """``status`` per cohort; manifest and read-back check, None when nothing was ready; rows set aside."""
 
     status: DataFrame
     manifest: dict[str, object] | None
     check: DataFrame | None
+    unreadable: int = 0
 
 
-def run(spark: SparkSession, folder: str, out: str, cfg: Settings) -> Outcome:
-    """All ready cohorts in one job, each to its own folder ``cohort=<tag>``."""
-    contacts, status = read_cohorts(spark, folder, cfg.tags)
+def run(spark: SparkSession, folder: str, out: str, cfg: Settings, glob: str = "*.dat") -> Outcome:
+    """All ready cohorts in one job, each to its own folder ``cohort=<tag>``.
+
+    Only the cohorts of this run are replaced. Rows whose e-mail does not open go to
+    ``<out>_unreadable``, by cohort, and are counted.
+    """
+    contacts, status = read_cohorts(spark, folder, cfg.tags, glob=glob)
     if contacts is None:
         return Outcome(status, None, None)
+    ready = [r[0] for r in status.filter("status = 'ok'").select("cohort").collect()]
+    for cohort in ready:  # what an earlier run has left of these cohorts
+        for place in (out, f"{out}_unreadable"):
+            Store(spark).delete(f"{place}/cohort={cohort}")
     written = write_with_manifest(
         spark, build(contacts, cfg), out, sep=fixed.FIELD_SEPARATOR, partition_by=["cohort"]
     )
-    check = verify_written(spark, out, written["rows"], sep=fixed.FIELD_SEPARATOR)
-    return Outcome(status, written, check)
+    aside = write_with_manifest(
+        spark, unreadable(contacts, cfg), f"{out}_unreadable", sep=fixed.FIELD_SEPARATOR, partition_by=["cohort"]
+    )
+    paths = [f"{out}/cohort={c}" for c in ready if Store(spark).names(f"{out}/cohort={c}")]
+    check = verify_written(spark, paths, written["rows"], sep=fixed.FIELD_SEPARATOR) if paths else None
+    return Outcome(status, written, check, aside["rows"])

@@ -90,18 +90,23 @@ def sales_in_window(sales: DataFrame, cfg: Settings) -> DataFrame:
 def loyalty_lines(sales: DataFrame) -> DataFrame:
     """Item lines with the loyalty id of their transaction's header.
 
-    Repeated headers repeat lines; :func:`item_totals` reduces them to one per line key.
+    Repeated headers count once; a transaction with several loyalty ids repeats its lines,
+    which :func:`item_totals` reduces to one per line key.
     """
     kinds = F.col("RECORDTYP")
     headers = sales.filter((kinds == fixed.HEADER_RECORD) & is_filled(F.col("LOYALTY_ID"))).select(
         *SALE_KEYS, "LOYALTY_ID"
-    )
+    ).distinct()
     lines = sales.filter((kinds == fixed.LINE_RECORD) & (F.col("UNIT_QTY") >= 0))
     lines = filters.complete_rows(
         lines.drop("LOYALTY_ID", "RECORDTYP"),
         ["SALES_TXN_DT", "PRICE", "RFN", "UNIT_QTY", "UPC_NBR", "ARTICLE_NBR", "LINE_ITEM_SEQ_NBR"],
     )
-    return lines.join(headers, list(SALE_KEYS), "inner")
+    named = headers.select(*[F.col(k).alias(f"__{k}") for k in SALE_KEYS], "LOYALTY_ID")
+    # keys of a header are never null here: a null one would meet its like in the struct
+    named = named.na.drop(subset=[f"__{k}" for k in SALE_KEYS])
+    joined = join_on_struct(lines, named, {k: f"__{k}" for k in SALE_KEYS})
+    return joined.drop(*[f"__{k}" for k in SALE_KEYS])
 
 
 def mapped_stores(lines: DataFrame, store_map: DataFrame, stores: DataFrame, cfg: Settings) -> DataFrame:
@@ -199,7 +204,16 @@ def build(tables: Tables, cfg: Settings) -> DataFrame:
     items = item_totals(lines)
     items = allowed_people(items, tables.addresses, tables.opt_outs, cfg)
     items = attach_identity(items, tables.identity)
-    items = items.join(sellable_products(tables, cfg), ["ARTICLE_NBR", "UPC_NBR"], "inner")
+    return feed_shape(with_products(items, tables, cfg))
+
+
+def with_products(items: DataFrame, tables: Tables, cfg: Settings) -> DataFrame:
+    """Items of sellable products, once for each of their SKUs."""
+    return items.join(sellable_products(tables, cfg), ["ARTICLE_NBR", "UPC_NBR"], "inner")
+
+
+def feed_shape(items: DataFrame) -> DataFrame:
+    """The columns of the feed, distinct."""
     return items.select(
         F.col("ECOMM_ID").alias("user_id"),
         F.col("RFN").alias("event_id"),

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.fixed_values import FIELD_SEPARATOR
+from .storage import Store
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -39,6 +42,51 @@ def read_delimited(
     return reader.csv(path if isinstance(path, str) else list(path))
 
 
+@dataclass(frozen=True)
+class Landed:
+    """Rows of landed files, and the landing paths that cannot be read because columns are missing."""
+
+    rows: DataFrame | None
+    unreadable: dict[str, list[str]]
+
+
+def read_landed(
+    spark: SparkSession, landings: Sequence[str], columns: Sequence[str], path_column: str, sep: str = FIELD_SEPARATOR
+) -> Landed:
+    """Landed files or folders of files, each file read under its own header.
+
+    Only the header lines are opened for planning, one file after the other: there are as
+    many as pending files. Files with equal headers are read together and checked
+    against that header; the wanted columns are then picked by name. Every row carries its
+    landing path, found by exact file URI (blanks and other coded characters included).
+    """
+    store = Store(spark)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    owner: dict[str, str] = {}
+    unreadable: dict[str, list[str]] = {}
+    for landing in landings:
+        for file in store.files(landing):
+            owner[file] = landing
+            # a file URI is coded, a path given to the reader is not
+            header = tuple(read_delimited(spark, unquote(file), sep=sep).columns)
+            missing = sorted({c.lower() for c in columns} - {c.lower() for c in header})
+            if missing:
+                unreadable.setdefault(landing, []).extend(missing)
+            by_header.setdefault(header, []).append(file)
+    parts = []
+    for header, files in by_header.items():
+        ready = [f for f in files if owner[f] not in unreadable]
+        if ready:
+            rows = read_delimited(spark, [unquote(f) for f in ready], header, sep)
+            parts.append(rows.select(*columns, F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("__uri")))
+    if not parts:
+        return Landed(None, unreadable)
+    owners = spark.createDataFrame(list(owner.items()), "__file string, __landing string")
+    every = reduce(DataFrame.unionByName, parts).join(owners, F.col("__uri") == F.col("__file"), "left")
+    lost = F.raise_error(F.concat(F.lit("rows of a file that no landing names: "), F.col("__uri")))
+    return Landed(every.select(*columns, F.coalesce("__landing", lost.cast("string")).alias(path_column)), unreadable)
+
+
 def read_lookup(spark: SparkSession, path: str, keys: Sequence[str], sep: str = ",") -> DataFrame:
     """A comma-separated lookup: keys trimmed, empty keys dropped, one row per key.
 

@@ -190,3 +190,81 @@ def test_lookup_and_cohort_sources(spark, tmp_path):
 def test_settings_for_run():
     cfg = purchase_feed.Settings.for_run(dt.date(2024, 3, 1))
     assert (cfg.first_day, cfg.last_day) == (dt.date(2024, 2, 29), dt.date(2024, 3, 1))
+
+
+def _state_table(spark, paths):
+    flags = state.PENDING_FLAGS
+    columns = ["extract_name", "extract_landing_path", *flags, "master_straight_record_count"]
+    table = spark.createDataFrame([("master_transactions", p, *flags.values(), 9) for p in paths], columns)
+    counts = ["drugExclusion_record_count", "plan_exclusion_record_count", "layout_reject_record_count"]
+    none = {c: F.lit(None).cast("long") for c in counts} | {"transformed_file_landing_path": F.lit(None).cast("string")}
+    none |= {c: F.lit(None).cast("timestamp") for c in ("transformation_complition_dttm", "last_update_dttm")}
+    return table.withColumns(none)
+
+
+def test_files_with_other_headers_blanks_and_folders(spark, tmp_path):
+    """Each file is read under its own header and found under its landing path."""
+    (tmp_path / "a b").mkdir()
+    (tmp_path / "a b" / "one%.dat").write_text(SEP.join("xyz") + "\n" + SEP.join("123") + "\n")
+    (tmp_path / "a b" / "two.dat").write_text(SEP.join("yxzw") + "\n" + SEP.join("5647") + "\n")
+    (tmp_path / "short.dat").write_text(SEP.join("xy") + "\n" + SEP.join("89") + "\n")
+    (tmp_path / "empty.dat").write_text(SEP.join("zyx") + "\n")
+    paths = [str(tmp_path / p) for p in ("a b", "short.dat", "empty.dat")]
+    landed = readers.read_landed(spark, paths, ["x", "y", "z"], "file")
+    assert sorted(map(tuple, landed.rows.collect())) == [("1", "2", "3", paths[0]), ("6", "5", "4", paths[0])]
+    assert landed.unreadable == {paths[1]: ["z"]}
+    assert readers.read_landed(spark, paths[1:2], ["z"], "file").rows is None
+
+
+def test_second_run_leaves_other_extracts_alone(spark, tmp_path):
+    t, out, root = Tables(spark, FOLDER), tmp_path / "out", str(tmp_path / "state")
+    cfg = replace(feeds.extract_settings(claim_layout.VARIANT_2), reject_threshold=100.0)
+    claims = feeds.protected_claims(t, cfg.keys)
+    paths = write_claims(claims, tmp_path)
+    state.write_state(spark, _state_table(spark, paths[:1]), root)
+    fixed_extract.run(spark, root, feeds.claim_lookups(t), str(out), cfg)
+    before = {p.name: lines(p) for p in (out / "valid").glob("extract=*")}
+    state.write_state(spark, state.read_state(spark, root).union(_state_table(spark, paths[1:2])), root)
+    fixed_extract.run(spark, root, feeds.claim_lookups(t), str(out), cfg)
+    after = {p.name: lines(p) for p in (out / "valid").glob("extract=*")}
+    assert len(before) == 1 and len(after) == 2 and after.items() >= before.items()
+    assert spark.read.parquet(str(out / "totals")).count() == 2
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    assert not list(tmp_path.__class__(shared).glob("feedweave/claims-*")), "staged rows are deleted"
+
+
+def test_staged_rows_are_deleted_on_failure(spark, tmp_path, monkeypatch):
+    t, root = Tables(spark, FOLDER), str(tmp_path / "state")
+    cfg = feeds.extract_settings(claim_layout.VARIANT_2)
+    paths = write_claims(feeds.protected_claims(t, cfg.keys).limit(20), tmp_path)
+    state.write_state(spark, _state_table(spark, paths), root)
+
+    def broken(*_):
+        raise RuntimeError("no space")
+
+    monkeypatch.setattr(fixed_extract, "write_fixed_width", broken)
+    try:
+        fixed_extract.run(spark, root, feeds.claim_lookups(t), str(tmp_path / "out"), cfg)
+    except RuntimeError:
+        pass
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    assert not list(tmp_path.__class__(shared).glob("feedweave/claims-*"))
+    assert {r.transformation_complition_flag for r in state.read_state(spark, root).collect()} == {"N"}
+
+
+def test_contact_feed_needs_its_columns_and_sets_unreadable_rows_aside(spark, tmp_path):
+    ring = KeyRing({"8000": "aa" * 16, "1": "bb" * 16})
+    cfg = contact_feed.Settings(keys=ring, tags=("ConsentA",))
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    values = ["7", "P", "Ann", "Lee", "1990-01-01", "EMAIL", "no token", "", "Site", "1", "EN"]
+    (inbox / "ConsentA.dat").write_text(SEP.join(fixed.CONTACT_COLUMNS) + "\n" + SEP.join(values) + "\n")
+    result = contact_feed.run(spark, str(inbox), str(tmp_path / "out"), cfg)
+    assert result.manifest["rows"] == 0 and result.unreadable == 1 and result.check is None
+    (inbox / "ConsentA.dat").write_text("EMAIL" + SEP + "DOB\nx" + SEP + "y\n")
+    try:
+        contact_feed.run(spark, str(inbox), str(tmp_path / "out2"), cfg)
+    except ValueError as error:
+        assert "PATIENT_ID" in str(error)
+    else:
+        raise AssertionError("missing columns must raise")

@@ -16,13 +16,14 @@ from feedweave.operators.totals import total_per_group
 RING = KeyRing({"1": "00" * 16, "2": "11" * 16})
 
 
-@pytest.mark.parametrize("inline", [0, 100])
-@pytest.mark.parametrize("terms", [["ring"], ["a", "bolt x", "g"], [], ["", None]])
-def test_terms_match_brute_force(spark, inline, terms):
-    names = ["a ring", "bolt", "bolt xy", "", None, "RING", "ring", "zig"]
+@pytest.mark.parametrize(
+    "terms", [["ring"], ["a", "bolt x", "g"], [], ["", None], [" ring", "ring ", " "], [f"t{k}x" for k in range(3000)]]
+)
+def test_terms_match_brute_force(spark, terms):
+    names = ["a ring", "bolt", "bolt xy", "", None, "RING", "ring", "zig", "t1x", "at2999xb", "long t7 " * 400]
     df = spark.createDataFrame([(n,) for n in names], "name string")
     listed = spark.createDataFrame([(t,) for t in terms], "term string")
-    kept = [r.name for r in lookups.exclude_terms(df, "name", listed, "term", inline).collect()]
+    kept = [r.name for r in lookups.exclude_terms(df, "name", listed, "term").collect()]
     wanted = [n for n in names if not n or not any(t in n for t in terms if t)]
     assert sorted(kept, key=str) == sorted(wanted, key=str)
 
@@ -107,10 +108,81 @@ def test_state_versions(spark, tmp_path):
     first = spark.createDataFrame([("x", "/a", "N", 1), ("x", "/b", "N", 2)], "extract_name string, extract_landing_path string, flag string, n long")
     assert state.write_state(spark, first, root) == 1
     changes = spark.createDataFrame([("x", "/a", "Y", None), ("x", "/zz", "Y", 5)], "extract_name string, extract_landing_path string, flag string, n int")
-    assert state.write_state(spark, state.apply_state(state.read_state(spark, root), changes), root) == 2
+    assert state.write_state(spark, state.apply_state(state.read_state(spark, root), changes, where=F.lit(True)), root) == 2
     # a version that was never committed is not seen
     first.write.parquet(f"{root}/version=3")
     rows = sorted(tuple(r) for r in state.read_state(spark, root).collect())
     assert rows == [("x", "/a", "Y", 1), ("x", "/b", "N", 2)]
     with pytest.raises(ValueError):
         state.read_state(spark, str(tmp_path / "none"))
+
+
+def test_override_does_not_multiply_rows(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    side = spark.createDataFrame([(1, "y"), (1, "x"), (1, None), (2, None), (None, "z")], "id int, w string")
+    got = sorted((r.k or 0, r.v) for r in lookups.attach_override(df, side, {"k": "id"}, "w", "v").collect())
+    assert got == [(0, "c"), (1, "x"), (2, "b")]
+
+
+def test_huge_numbers_stay_whole(spark):
+    from feedweave.functions import numbers
+
+    digits = ["1" * 20, "9" * 40, "12", "x" * 40, None]
+    df = spark.createDataFrame([(d,) for d in digits], "c string")
+    keys = [r[0] for r in df.select(numbers.offset_key(F.col("c"), 1, 15, "left", "0")).collect()]
+    assert keys == [str(int("1" * 20) + 1), "9" * 40, "13".rjust(15, "0"), None, None]
+    ids = [r[0] for r in df.select(numbers.hex_id(F.col("c"), 11)).collect()]
+    assert ids[:3] == ["1" * 20, "9" * 40, "C".ljust(11)]
+
+
+def test_missing_field_does_not_make_up_for_a_wide_one(spark):
+    from feedweave.plans.claim_layout import CLAIM_LAYOUT
+
+    bare = Layout((Field("a", 1, ("a",), lambda ctx, w, c: c, strict=True), Field("b", 1, ("b",), lambda ctx, w, c: c, strict=True)))
+    rows = bare.record(spark.createDataFrame([("x", "y"), (None, "XY")], "a string, b string")).collect()
+    assert [r.layout_ok for r in rows] == [True, False]
+    unpadded = {"prescription_type_60149", "partial_fill_cd", "daw_prod_selection_cd_408d8", "prescription_origin_code", "free_goods"}
+    numbers = {"rx_fill_nbr", "days_supply_405d5", "reject_count_510fa", "original_store_id", "current_store_id_7"}
+    assert all(f.strict for f in CLAIM_LAYOUT.fields if f.name in unpadded | numbers)
+
+
+def _pending(spark, *paths, **flags):
+    made = [("e", p, *(state.PENDING_FLAGS | flags).values(), 5, None) for p in paths]
+    names = ", ".join(f"{f} string" for f in state.PENDING_FLAGS)
+    return spark.createDataFrame(made, f"extract_name string, extract_landing_path string, {names}, master_straight_record_count int, n long")
+
+
+def test_state_changes_meet_the_newest_version(spark, tmp_path):
+    root = str(tmp_path / "s")
+    state.write_state(spark, _pending(spark, "/p1"), root)
+    changes = spark.createDataFrame([("e", "/p1", 7)], "extract_name string, extract_landing_path string, n long")
+    # a landing recorded meanwhile
+    state.write_state(spark, state.read_state(spark, root).union(_pending(spark, "/p2")), root)
+    assert state.commit_changes(spark, changes, root) == 3
+    assert {(r.extract_landing_path, r.n) for r in state.read_state(spark, root).collect()} == {("/p1", 7), ("/p2", None)}
+
+
+def test_two_writers_of_one_version(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "s")
+    state.write_state(spark, _pending(spark, "/p1"), root)
+    real, overtaken = state._commit, []
+
+    def slow(spark_, new, root_, version):
+        if not overtaken:
+            overtaken.append(version)
+            real(spark_, state.read_state(spark_, root_).union(_pending(spark_, "/p2")), root_, version)
+        return real(spark_, new, root_, version)
+
+    monkeypatch.setattr(state, "_commit", slow)
+    changes = spark.createDataFrame([("e", "/p1", 7)], "extract_name string, extract_landing_path string, n long")
+    assert state.commit_changes(spark, changes, root) == 3
+    assert {(r.extract_landing_path, r.n) for r in state.read_state(spark, root).collect()} == {("/p1", 7), ("/p2", None)}
+
+
+def test_processed_rows_and_unknown_columns(spark):
+    table = _pending(spark, "/p").union(_pending(spark, "/p", transformation_complition_flag="Y"))
+    changes = spark.createDataFrame([("e", "/p", 7)], "extract_name string, extract_landing_path string, n long")
+    got = {(r.transformation_complition_flag, r.n) for r in state.apply_state(table, changes).collect()}
+    assert got == {("N", 7), ("Y", None)}
+    with pytest.raises(ValueError, match="no column m"):
+        state.apply_state(table, changes.withColumnRenamed("n", "m"))

@@ -80,3 +80,28 @@ def test_hot_keys_are_split(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_totals_read_the_detail_once(spark):
+    df = QUERIES["agg_broadcast_back"](spark, FOLDER)
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
+def test_records_are_split_in_one_pass(spark):
+    df = QUERIES["layout_split"](spark, FOLDER)
+    df.collect()
+    assert plan(df).split("Initial Plan")[0].count("FileScan") == 2  # lines and orders, once each
+
+
+def test_listed_texts_travel_as_keys(spark):
+    """The substrings of a long text are not shuffled with the text."""
+    from feedweave.operators.lookups import keys_with_terms
+
+    texts = spark.range(3).selectExpr("concat(repeat('abc ', 500), id) AS t")
+    terms = spark.range(2000).selectExpr("concat('c ', id) AS term")
+    text = plan(keys_with_terms(texts, "t", terms, "term"))
+    generate = text.index("Generate explode(array_distinct")
+    assert "text" not in text[:generate].replace("__text", "")
+    assert keys_with_terms(texts, "t", terms, "term").count() == 3
