@@ -9,11 +9,11 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedweave.llm.common import materialise, small_batches
@@ -21,7 +21,8 @@ from feedweave.session import scratch_path
 
 LEAST_REVISIT_BYTES = 100
 BLOCK_LINES = 1000  # index lines of one compressed block
-PART_BYTES = 64 << 20  # payload of one archive file, about
+INDEX_LINES = 16_000  # index lines of one index file, about
+OPEN_FILES = 64  # archives a task holds open
 CAPTURED = "2020-01-01T00:00:00Z"
 # The format's own names.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -121,71 +122,71 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url: str = "ur
     The payload is the html in UTF-8 (null: empty). Of the rows with equal payloads of at
     least 100 bytes those with the smallest page id are responses, the others revisit them; a
     payload only rows without id have is never revisited. Null urls sort first and are left out of
-    the record. Rows are range-partitioned by reversed-host key and page id, so a host or url with very many
-    rows spreads over files. Every task writes one archive of gzip members and, beside it, the index
-    lines of its records in sorted, compressed blocks; file names are unique to the attempt, and only
-    what finished attempts return is in the directory. An empty table writes nothing. Other columns
-    are not archived.
-
-    A third file holds the archive's sparse directory, one entry for each block: its first and last
-    key and its place. The returned directory has the same for all archives: ``part``, ``block``, ``low`` and ``high`` key, ``file``,
-    ``offset``, ``length``.
+    the record. An empty table writes nothing. Other columns are not archived.
+
+    Every task writes one archive of gzip members, in the order its rows come, so payloads are not
+    sorted. Their index lines are then range-partitioned by reversed-host key and page id, so a
+    host or url with very many rows spreads over index files, and each index file is written as
+    sorted, compressed blocks with its sparse directory beside it: first and last key and place
+    of every block. File names are unique to the attempt; only files of finished attempts are
+    named by the lines, and only their blocks by the returned directory (``file``, ``low``, ``high``).
     """
     spark = pages.sparkSession
     small_batches(spark)
     root = qualified(spark, folder)
-    total = pages.agg(F.sum(F.octet_length(F.col(html)).cast("long")).alias("n")).first()["n"] or 0
-    parts = max(1, -(-total // PART_BYTES))
-    sorted_rows = _records(pages, id_col, url, html).repartitionByRange(parts, "key", "page_id", "digest")
-    sorted_rows = sorted_rows.sortWithinPartitions("key", "page_id", "digest")
 
     def archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
         store, base = fs.FileSystem.from_uri(root)
-        name = f"{part:06d}-{uuid.uuid4().hex}"
-        blocks: list[tuple] = []
-        lines: list[str] = []
-        keys: list[str] = []
-        warc = cdx = None
-        at = index_at = 0
-
-        def close_block() -> None:
-            nonlocal index_at
-            packed = zlib_member("\n".join(lines).encode())
-            cdx.write(packed)
-            blocks.append((part, len(blocks), keys[0], keys[-1], name, index_at, len(packed)))
-            index_at += len(packed)
-            lines.clear()
-            keys.clear()
-
+        name, out, at = f"{uuid.uuid4().hex}.warc.gz", None, 0
         for batch in batches:
+            lines: list[tuple] = []
             for page_id, url_, payload, key, digest, refers_to in zip(*[c.to_pylist() for c in batch.columns]):
-                if warc is None:
+                if out is None:
                     store.create_dir(base, recursive=True)
-                    warc = store.open_output_stream(f"{base}/{name}.warc.gz", compression=None)
-                    cdx = store.open_output_stream(f"{base}/{name}.cdx.gz", compression=None)
+                    out = store.open_output_stream(f"{base}/{name}", compression=None)
                 member = zlib_member(record(page_id, url_, payload, digest, refers_to))
-                warc.write(member)
-                lines.append(json.dumps([key, page_id, digest, at, len(member)]))
-                keys.append(key)
+                out.write(member)
+                lines.append((key, page_id, digest, name, at, len(member)))
                 at += len(member)
-                if len(lines) == BLOCK_LINES:
+            yield _table(lines, _LINE)
+        if out is not None:
+            out.close()
+
+    lines = materialise(_records(pages, id_col, url, html).mapInArrow(archive, _LINE), "captures")
+    parts = max(1, -(-lines.count() // INDEX_LINES))
+    ordered = lines.repartitionByRange(parts, "key", "page_id", "digest", "file", "offset")
+    ordered = ordered.sortWithinPartitions("key", "page_id", "digest", "file", "offset")
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = fs.FileSystem.from_uri(root)
+        name, out, at = f"{uuid.uuid4().hex}.cdx.gz", None, 0
+        blocks: list[tuple] = []
+        held: list[tuple] = []
+
+        def close_block() -> None:
+            nonlocal at
+            packed = zlib_member("\n".join(map(json.dumps, held)).encode())
+            out.write(packed)
+            blocks.append((held[0][0], held[-1][0], at, len(packed)))
+            at += len(packed)
+            held.clear()
+
+        for batch in batches:
+            for line in zip(*[c.to_pylist() for c in batch.columns]):
+                if out is None:
+                    out = store.open_output_stream(f"{base}/{name}", compression=None)
+                held.append(line)
+                if len(held) == BLOCK_LINES:
                     close_block()
-        if lines:
+        if held:
             close_block()
-        if warc is not None:
-            warc.close()
-            cdx.close()
-            with store.open_output_stream(f"{base}/{name}.dir", compression=None) as out:
-                out.write(json.dumps([b[2:4] + b[5:] for b in blocks]).encode())
-        columns = list(zip(*blocks)) or [()] * 7
-        kinds = [pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int32()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], names=["part", "block", "low", "high", "file", "offset", "length"]
-        )
+        if out is not None:
+            out.close()
+            with store.open_output_stream(f"{base}/{name}.dir", compression=None) as sparse:
+                sparse.write(json.dumps(blocks).encode())
+        yield _table([(name, low, high) for low, high, _, _ in blocks], _BLOCK)
 
-    made = sorted_rows.mapInArrow(archive, "part int, block int, low string, high string, file string, offset long, length int")
-    return materialise(made, "capture-directory")
+    return materialise(ordered.mapInArrow(index, _BLOCK), "capture-directory")
 
 
 def zlib_member(data: bytes) -> bytes:
@@ -196,12 +197,12 @@ def zlib_member(data: bytes) -> bytes:
 def lookup(keys: DataFrame, directory: DataFrame, folder: str, key: str = "key", with_payload: bool = True) -> DataFrame:
     """All records whose key is among ``keys``, read through the index.
 
-    Repeated and null keys count once and not at all; keys without a capture give no row. The
-    directory's files have one row each in a table of bounds, small enough to travel with the tasks: one
-    row per 64 MB of payload. A key goes to each file whose bounds hold it; there it is binary-searched in the
-    file's sparse directory, the few blocks that can hold it are read by range, and so are its
-    records. Returns ``key``, ``page_id``, ``record_type``, ``payload_bytes``, ``payload_digest``,
-    ``refers_to`` and ``payload`` (null for revisits, or when ``with_payload`` is off).
+    Repeated keys count once, null keys not at all; keys without a capture give no row. Each index
+    file has one row of bounds that travels with the tasks, one for 16,000 captures. A key goes to the
+    index files whose bounds hold it; there it is binary-searched in the file's sparse directory, the few
+    blocks that can hold it are read by range, and so are its records. Returns ``key``, ``page_id``,
+    ``record_type``, ``payload_bytes``, ``payload_digest``, ``refers_to`` and ``payload`` (null for revisits, or
+    when ``with_payload`` is off).
     """
     spark = keys.sparkSession
     small_batches(spark)
@@ -212,8 +213,12 @@ def lookup(keys: DataFrame, directory: DataFrame, folder: str, key: str = "key",
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(files[i][2], k) for k in batch.column(0).to_pylist() for i in range(bisect.bisect_left(highs, k), bisect.bisect_right(lows, k))]
-            yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in found], pa.string()), pa.array([k for _, k in found], pa.string())], names=["file", "key"])
+            found = [
+                (files[i][2], k)
+                for k in batch.column(0).to_pylist()
+                for i in range(bisect.bisect_left(highs, k), bisect.bisect_right(lows, k))
+            ]
+            yield _table(found, "file string, key string")
 
     wanted = keys.select(F.col(key).alias("key")).where("key is not null").distinct()
     routed = wanted.mapInArrow(route, "file string, key string")
@@ -221,46 +226,48 @@ def lookup(keys: DataFrame, directory: DataFrame, folder: str, key: str = "key",
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(root)
-        now, warc, cdx, cached, lines = None, None, None, None, []
+        archives = lru_cache(maxsize=OPEN_FILES)(lambda name: store.open_input_file(f"{base}/{name}"))
+        now = cached = cdx = None
         for batch in batches:
             rows: list[tuple] = []
             held = 0
-            for k in range(batch.num_rows):
-                file, key_ = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
+            for file, wanted_key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if file != now:
-                    now, cached = file, None
+                    now, cached, cdx = file, None, store.open_input_file(f"{base}/{file}")
                     with store.open_input_stream(f"{base}/{file}.dir", compression=None) as sparse:
                         blocks = json.loads(sparse.read())
                     block_lows, block_highs = [b[0] for b in blocks], [b[1] for b in blocks]
-                    warc = store.open_input_file(f"{base}/{file}.warc.gz")
-                    cdx = store.open_input_file(f"{base}/{file}.cdx.gz")
-                for i in range(bisect.bisect_left(block_highs, key_), bisect.bisect_right(block_lows, key_)):
+                first, last = bisect.bisect_left(block_highs, wanted_key), bisect.bisect_right(block_lows, wanted_key)
+                for i in range(first, last):
                     if cached != i:
                         packed = cdx.read_at(blocks[i][3], blocks[i][2])
-                        lines = [json.loads(x) for x in gzip.decompress(packed).decode().split("\n")]
-                        line_keys, cached = [x[0] for x in lines], i
-                    for j in range(bisect.bisect_left(line_keys, key_), bisect.bisect_right(line_keys, key_)):
-                        _, _, _, offset, length = lines[j]
-                        r = parse(zlib.decompress(warc.read_at(length, offset), 31))
+                        lines, cached = [json.loads(x) for x in gzip.decompress(packed).decode().split("\n")], i
+                        line_keys = [x[0] for x in lines]
+                    for j in range(bisect.bisect_left(line_keys, wanted_key), bisect.bisect_right(line_keys, wanted_key)):
+                        _, _, _, archive, offset, length = lines[j]
+                        r = parse(zlib.decompress(archives(archive).read_at(length, offset), 31))
                         body = r["payload"] if with_payload else None
-                        rows.append((key_, r["page_id"], r["record_type"], r["payload_bytes"], r["payload_digest"], r["refers_to"], body))
+                        rows.append((wanted_key, *[r[c] for c in _RECORD_FIELDS], body))
                         held += len(body or b"") + 200
                         if held > 1 << 23:
-                            yield _batch(rows)
+                            yield _table(rows, _RECORD)
                             rows, held = [], 0
-            yield _batch(rows)
+            yield _table(rows, _RECORD)
 
-    return asked.mapInArrow(
-        fetch,
-        "key string, page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary",
-    )
+    return asked.mapInArrow(fetch, _RECORD)
+
+
+_LINE = "key string, page_id long, digest string, file string, offset long, length int"
+_BLOCK = "file string, low string, high string"
+_RECORD_FIELDS = ("page_id", "record_type", "payload_bytes", "payload_digest", "refers_to")
+_RECORD = "key string, page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
+_KINDS = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
-    names = ["key", "page_id", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload"]
-    columns = list(zip(*rows)) or [()] * 7
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+def _table(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    fields = [f.split() for f in schema.split(", ")]
+    columns = list(zip(*rows)) or [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, _KINDS[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
 
 
 def archive_folder(spark: SparkSession) -> str:
