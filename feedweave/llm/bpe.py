@@ -16,7 +16,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 from feedweave.llm.common import small_batches
 
 # Texts replayed together, in bytes, and distinct words a task remembers before it starts anew.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 REMEMBERED_WORDS = 500_000
 
 
