@@ -15,7 +15,8 @@ PIVOTS = 64  # centres of the top level, from a bounded sample of vectors
 SAMPLE_ROWS = 2048
 BLOCK_BYTES = 4 << 20  # vectors of one tree at most, as 8-byte numbers
 BLOCK_ROWS = 2048  # and their number: building a tree takes all distances among them
-QUERY_ROWS = 1024
+QUERY_ROWS = 512
+SLICES = 8  # the candidate trees of one query tree are searched in so many runs
 LEAF = 64  # points of a leaf
 _KIND = "block long, dim int, n int, ids binary, vs binary, nodes binary, balls binary, centre binary, radius double"
 
@@ -113,15 +114,19 @@ class _Tree:
 
 
 class DualSearch:
-    """All queries of one tree against all candidates of another."""
+    """All queries of one tree against trees of candidates, one after the other."""
 
-    def __init__(self, queries: _Tree, candidates: _Tree, k: int, worst: np.ndarray):
-        self.q, self.c, self.k = queries, candidates, k
+    def __init__(self, queries: _Tree, k: int, worst: np.ndarray):
+        self.q, self.k = queries, k
         n = len(queries.ids)
         self.scores = np.full((n, k), np.iinfo(np.int64).min, np.int64)
         self.ids = np.full((n, k), np.iinfo(np.int64).max, np.int64)
         self.worst = worst  # of each query: a score that k candidates are known to reach
-        dim = queries.rows.shape[1]
+
+    def against(self, candidates: _Tree) -> None:
+        """Search one more tree of candidates."""
+        self.c, queries = candidates, self.q
+        n, dim = len(queries.ids), queries.rows.shape[1]
         self.in_doubles = queries.largest * candidates.largest * dim < 1 << 53
         if not self.in_doubles and queries.largest * candidates.largest * dim >= 1 << 63:
             raise ValueError("scores exceed 64 bits")
@@ -264,18 +269,37 @@ def _trees(vectors: DataFrame, pivots: dict[int, np.ndarray], block_rows: int) -
 
 
 def _search(pairs: DataFrame, k: int) -> DataFrame:
-    """Dual-tree search in every pair; ``q_worst`` may hold known kth scores of the queries."""
+    """Dual-tree search in every pair of trees; ``q_worst`` may hold known kth scores of the queries.
+
+    Pairs that follow each other with the same ``q_block`` and ``slice`` share their best
+    results and bounds, and give one set of results.
+    """
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = found = None
+
+        def result() -> pa.RecordBatch:
+            q, c, score = found.rows()
+            block = pa.array(np.full(len(q), now[0]))
+            return pa.RecordBatch.from_arrays([block, pa.array(q), pa.array(c), pa.array(score)], names=["q_block", "query_id", "vec_id", "score"])
+
         for batch in batches:
             for r in range(batch.num_rows):
-                row = {name: batch.column(name)[r].as_py() for name in batch.schema.names}
-                trees = [_Tree(row["dim"], *[row[f"{side}_{f}"] for f in ("n", "ids", "vs", "nodes", "balls")]) for side in "qc"]
-                worst = np.full(row["q_n"], np.iinfo(np.int64).min, np.int64)
-                if row["q_worst"] is not None:
-                    worst = np.array(row["q_worst"], np.int64)[np.searchsorted(row["q_known"], trees[0].ids)]
-                q, c, score = DualSearch(*trees, k, worst).rows()
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(q), row["q_block"])), pa.array(q), pa.array(c), pa.array(score)], names=["q_block", "query_id", "vec_id", "score"])
+                row = {name: batch.column(name)[r].as_py() for name in ("q_block", "slice", "dim", "most", "q_n", "c_n", "q_worst")}
+                tree = lambda side: _Tree(row["dim"], row[f"{side}_n"], *[batch.column(f"{side}_{f}")[r].as_py() for f in ("ids", "vs", "nodes", "balls")])
+                if now != (row["q_block"], row["slice"]):
+                    if found is not None:
+                        yield result()
+                    now, queries = (row["q_block"], row["slice"]), tree("q")
+                    worst = np.full(row["q_n"], np.iinfo(np.int64).min, np.int64)
+                    if row["q_worst"] is not None:
+                        known = np.array(batch.column("q_known")[r].as_py(), np.int64)
+                        worst = np.array(row["q_worst"], np.int64)[np.searchsorted(known, queries.ids)]
+                    found = DualSearch(queries, k, worst)
+                if row["most"] >= found.worst.min():
+                    found.against(tree("c"))
+        if found is not None:
+            yield result()
 
     return pairs.mapInArrow(search, "q_block long, query_id long, vec_id long, score long")
 
@@ -333,7 +357,8 @@ def top_k(
 
     pairs = materialise(meta.mapInArrow(reach, "dim int, q_block long, c_block long, c_n int, dot double, most double"), "block-pairs")
     # the home block: large enough if there is one, then by its centre
-    home = pairs.groupBy("q_block").agg(F.max_by("c_block", F.struct(F.col("c_n") > k, "dot", "c_block")).alias("c_block"))
+    best = F.max_by(F.struct("c_block", "most"), F.struct(F.col("c_n") > k, "dot", "c_block"))
+    home = pairs.groupBy("q_block").agg(best.alias("h")).select("q_block", "h.c_block", "h.most", F.lit(0).alias("slice"))
     own, theirs = _side(wanted, "q"), _side(candidates, "c")
     nothing = [F.lit(None).cast("array<long>").alias(c) for c in ("q_known", "q_worst")]
     dims = wanted.select(F.col("block").alias("q_block"), "dim")
@@ -354,11 +379,14 @@ def top_k(
     )
     left = pairs.join(home.select("q_block", F.col("c_block").alias("home")), "q_block").where("c_block <> home")
     left = left.join(known, "q_block").where("most >= least").select(
-        "dim", "q_block", "c_block", F.col("known.query_id").alias("q_known"), F.col("known.worst").alias("q_worst")
+        "dim", "q_block", "c_block", "most", F.pmod(F.xxhash64("c_block"), F.lit(SLICES)).cast("int").alias("slice"),
+        F.col("known.query_id").alias("q_known"), F.col("known.worst").alias("q_worst"),
     )
-    second = _search(left.join(own, "q_block").join(theirs, "c_block"), k)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    every = first.union(second).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    # a run of trees, the most promising first, gives k results a query at most
+    runs = left.join(own, "q_block").join(theirs, "c_block").repartition("q_block", "slice")
+    second = _search(runs.sortWithinPartitions("q_block", "slice", F.desc("most")), k)
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    every = first.union(second).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return every.select("query_id", "rank", "vec_id", "score")
 
 
