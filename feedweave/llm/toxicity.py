@@ -18,8 +18,8 @@ ORDERS = (4, 5, 6)
 BUCKET_BITS = 20
 THRESHOLD = 0.7
 # Labelled rows the classifier is fitted on at most, and features it may use.
-SAMPLE_ROWS = 12_000
-FEATURES = 20_000
+SAMPLE_ROWS = 30_000
+FEATURES = 5_000
 
 
 @dataclass(frozen=True)
@@ -132,8 +132,8 @@ def train(
     sample_rows: int = SAMPLE_ROWS,
     features: int = FEATURES,
     smoothing: float = 1.0,
-    l2: float = 1e-4,
-    rounds: int = 300,
+    l2: float = 1e-5,
+    rounds: int = 400,
 ) -> Model:
     """Fit the classifier on a bounded sample of the labelled rows that are not held out.
 
