@@ -1,5 +1,6 @@
 """Query plans: what must and must not appear in them."""
 
+import contextlib
 import datetime as dt
 import re
 
@@ -10,6 +11,7 @@ from feedweave.catalog.registry import Tables
 from feedweave.functions.dates import compact_date_window
 from feedweave.operators.lookups import exclude_if_in, flag_if_in
 from feedweave.operators.totals import total_per_group
+from feedweave.plans import purchase_feed
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -48,8 +50,9 @@ def test_scans_read_only_needed_columns(spark):
     assert re.search(r"ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint,l_returnflag:string,l_linestatus:string>", text)
 
 
-def test_hot_keys_are_split(spark):
-    """One key holds most rows: adaptive execution splits it, and the result stays right."""
+@contextlib.contextmanager
+def small_partitions(spark):
+    """Settings under which a few thousand rows of one key count as skewed."""
     small = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -59,13 +62,22 @@ def test_hot_keys_are_split(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
     }
     before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_hot_keys_are_split(spark):
+    """One key holds most rows: adaptive execution splits it, and the result stays right."""
     rows = spark.range(0, 60000, 1, 8).selectExpr(
         "CASE WHEN id % 3 > 0 THEN 0 ELSE id % 500 END AS k", "id AS rest", "1 AS qty"
     )
     lookup = spark.range(0, 500, 2).toDF("id")
-    try:
-        for key, value in small.items():
-            spark.conf.set(key, value)
+    with small_partitions(spark):
         for df in (
             total_per_group(rows, ["k"], "qty", "total"),
             flag_if_in(rows, lookup, {"k": "id"}, "hit"),
@@ -77,9 +89,35 @@ def test_hot_keys_are_split(spark):
         total = {r.k: r.total for r in total_per_group(rows, ["k"], "qty", "total").collect()}
         assert sum(total.values()) == 60000 and total[0] > 40000
         assert len(collected) == rows.filter("k % 2 = 1").count()
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_hot_loyalty_id_and_transaction_in_the_feed(spark):
+    """Most lines belong to one person and one transaction: header and identity joins split them."""
+    hot = "CASE WHEN id % 3 > 0 THEN 0 ELSE id % 500 END"
+    typed = spark.range(0, 60000, 1, 8).selectExpr(
+        "1100 AS RECORDTYP", f"cast({hot} AS string) AS RFN", "'19960101' AS SALES_TXN_DT", "'s' AS STORE_NBR", "id AS UPC_NBR",
+        "cast(id AS string) AS ARTICLE_NBR", "1 AS LINE_ITEM_SEQ_NBR", "1 AS UNIT_QTY", "cast(1 AS decimal(18,2)) AS PRICE",
+        "cast(NULL AS string) AS LOYALTY_ID",
+    )
+    headers = spark.range(1000).selectExpr(
+        "1000 AS RECORDTYP", "cast(id % 500 AS string) AS RFN", "'19960101' AS SALES_TXN_DT", "'s' AS STORE_NBR",
+        "cast(NULL AS bigint) AS UPC_NBR", "cast(NULL AS string) AS ARTICLE_NBR", "cast(NULL AS int) AS LINE_ITEM_SEQ_NBR",
+        "cast(NULL AS int) AS UNIT_QTY", "cast(NULL AS decimal(18,2)) AS PRICE", "cast(id % 500 AS string) AS LOYALTY_ID",
+    )
+    people = spark.range(500).selectExpr("id AS mid", "explode(array('LR', 'EC')) AS cust_src_cd").selectExpr(
+        "mid", "cust_src_cd", "cast(mid AS string) AS cust_src_id",
+        "timestamp_ntz'2024-01-01 00:00:00' AS dna_update_dttm", "'9999-12-31 00:00:00' AS dna_end_dttm",
+    )
+    with small_partitions(spark):
+        lines = purchase_feed.loyalty_lines(typed.unionByName(headers))
+        assert lines.count() == 60000
+        lines.write.format("noop").mode("overwrite").save()
+        lines.collect()
+        assert "skewed" in plan(lines)
+        known = typed.drop("LOYALTY_ID").withColumn("LOYALTY_ID", F.col("RFN"))
+        found = purchase_feed.attach_identity(known, people)
+        assert len(found.collect()) == 60000
+        assert "skewed" in plan(found)
 
 
 def test_totals_read_the_detail_once(spark):
