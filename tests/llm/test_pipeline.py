@@ -59,3 +59,29 @@ def test_tokens(stages):
 
 def test_run(spark, stages):
     assert corpus_pipeline.run(spark, FOLDER).count() == len(stages[4])
+
+
+def test_last_stage_has_the_order_of_the_mix(spark, stages, tmp_path):
+    """Over many part files of unequal size that the reader packs in another order."""
+    docs = spark.createDataFrame(stages[2])
+    expected = {r["doc_id"]: r["position"] for r in mixing.mix(docs, catalog.TARGET_WEIGHTS, catalog.OTHER_WEIGHT).collect()}
+    changed = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "13", "spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "4k"}
+    kept = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        corpus_pipeline.mix_sources(spark, docs, FOLDER).write.parquet(f"{tmp_path}/mixed")
+        files = len(list((tmp_path / "mixed").glob("part-*")))
+        mixed = spark.read.parquet(f"{tmp_path}/mixed")
+        read = [expected[r["doc_id"]] for r in mixed.select("doc_id").collect()]
+        found = corpus_pipeline.tokenise(spark, mixed, FOLDER).select("doc_id", "position").collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert files > 8 and read != sorted(read)
+    assert {r["doc_id"]: r["position"] for r in found} == expected and len(found) == len(expected)
+
+
+def test_run_has_the_order_of_the_mix(spark, stages):
+    expected = {r["doc_id"]: r["position"] for r in mixing.mix(spark.createDataFrame(stages[2]), catalog.TARGET_WEIGHTS, catalog.OTHER_WEIGHT).collect()}
+    assert {r["doc_id"]: r["position"] for r in corpus_pipeline.run(spark, FOLDER).collect()} == expected
