@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -141,6 +141,21 @@ def links(prints: DataFrame, fingerprint: str = "fingerprint", distance: int = 2
     return postings.mapInArrow(verify, "src long, dst long")
 
 
+def _grouped(docs: DataFrame, id_col: str, text: str, shingle_words: int, distance: int) -> DataFrame:
+    """One row per document: ``id``, fingerprint ``f``, ``component`` (a fingerprint of the group), ``component_id``."""
+    slim = docs.select(F.col(id_col).alias("id"), F.col(text).alias("t"))
+    prints = materialise(with_fingerprint(slim, "t", "f", shingle_words).select("id", "f"), "prints")
+    nodes = materialise(prints.groupBy("f").agg(F.min("id").alias("first")), "nodes")
+    groups = materialise(connected_components(links(nodes, "f", distance), "src", "dst"), "groups")
+    member = nodes.join(groups, nodes["f"] == groups["node"]).select("f", "first", "component")
+    smallest = member.groupBy("component").agg(F.min("first").alias("least"))
+    grouped = member.join(smallest, "component").select(F.col("f").alias("g"), "component", "least")
+    named = nodes.join(grouped, F.col("f") == F.col("g"), "left").select(
+        F.col("f").alias("n"), F.coalesce("component", "f").alias("component"), F.coalesce("least", "first").alias("component_id")
+    )
+    return prints.join(named, F.col("f") == F.col("n")).select("id", "f", "component", "component_id")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle_words: int = 3, distance: int = 2
 ) -> DataFrame:
@@ -155,39 +170,43 @@ def near_duplicates(
     of the graph, so copies never become pairs. Returns the id, ``fingerprint``
     (16 lower-case hex digits) and ``component_id``.
     """
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text).alias("t"))
-    prints = materialise(with_fingerprint(slim, "t", "f", shingle_words).select("id", "f"), "prints")
-    nodes = materialise(prints.groupBy("f").agg(F.min("id").alias("first")), "nodes")
-    groups = materialise(connected_components(links(nodes, "f", distance), "src", "dst"), "groups")
-    member = nodes.join(groups, nodes["f"] == groups["node"]).select("f", "first", "component")
-    smallest = member.groupBy("component").agg(F.min("first").alias("least"))
-    grouped = member.join(smallest, "component").select(F.col("f").alias("g"), "least")
-    named = nodes.join(grouped, F.col("f") == F.col("g"), "left").select(
-        F.col("f").alias("n"), F.coalesce("least", "first").alias("component_id")
-    )
-    return prints.join(named, F.col("f") == F.col("n")).select(
+    return _grouped(docs, id_col, text, shingle_words, distance).select(
         F.col("id").alias(id_col),
         F.lpad(F.lower(F.hex("f")), 16, "0").alias("fingerprint"),
         "component_id",
     )
 
 
+def _first_rows(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """One row for each key: the first by a digest of all columns, so that only fully equal rows tie."""
+    order = Window.partitionBy(*keys).orderBy(F.sha2(F.to_json(F.struct(*columns)), 256))
+    return rows.withColumn("__first", F.row_number().over(order)).where("__first = 1").select(*columns)
+
+
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle_words: int = 3, distance: int = 2) -> DataFrame:
     """Keep one row of each near-duplicate group: the one with the smallest id.
 
     Columns stay as they are. A row with a null id is kept only if its whole
-    group has no id; of rows that repeat the kept id, one is kept.
+    group has no id. Where one id stands on several rows, each group keeps its own: of the
+    smallest id's rows in the group those with the smallest fingerprint, and of these the first
+    by a digest of all columns.
     """
-    found = near_duplicates(docs, id_col, text, shingle_words, distance)
-    kept = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__keep")).distinct()
-    with_id = docs.join(kept, docs[id_col] == F.col("__keep"), "left_semi").dropDuplicates([id_col])
-    if docs.where(F.col(id_col).isNull()).isEmpty():
-        return with_id
+    found = materialise(_grouped(docs, id_col, text, shingle_words, distance), "found")
+    first = found.where("id = component_id").groupBy("component").agg(F.min("id").alias("__keep"), F.min("f").alias("__print"))
+    kept = first.select("__keep", "__print")
+    repeated = found.where("id is not null").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
+    ids = kept.select("__keep").distinct()
+    if repeated.isEmpty():
+        with_id = docs.join(ids, docs[id_col] == F.col("__keep"), "left_semi")
+    else:
+        near = docs.join(ids, docs[id_col] == F.col("__keep"), "left_semi")
+        near = with_fingerprint(near, text, "__f", shingle_words)
+        near = near.join(kept, (F.col(id_col) == F.col("__keep")) & (F.col("__f") == F.col("__print")), "left_semi")
+        with_id = _first_rows(near, [id_col, "__f"], docs.columns)
     lone = docs.where(F.col(id_col).isNull())
+    if lone.isEmpty():
+        return with_id
     lone = with_fingerprint(lone, text, "__f", shingle_words)
-    open_groups = found.where("component_id is null").select("fingerprint").distinct()
-    nodes = open_groups.select(F.conv("fingerprint", 16, -10).cast("long").alias("__n"))
-    groups = connected_components(links(nodes, "__n", distance), "src", "dst")
-    label = nodes.join(groups, F.col("__n") == F.col("node"), "left").select("__n", F.coalesce("component", "__n").alias("__c"))
-    lone = lone.join(label, F.col("__f") == F.col("__n")).dropDuplicates(["__c"]).select(docs.columns)
+    label = found.where("component_id is null").select(F.col("f").alias("__n"), F.col("component").alias("__c")).distinct()
+    lone = _first_rows(lone.join(label, F.col("__f") == F.col("__n")), ["__c"], docs.columns)
     return with_id.unionByName(lone)

@@ -105,3 +105,14 @@ def test_no_pairs_of_copies(spark):
     found = simhash.near_duplicates(docs)
     assert found.where("component_id = 0").count() >= 1000
     assert found.count() == 3000
+
+
+def test_one_id_in_several_groups(spark):
+    """Each group keeps a row, also where groups share their smallest id; the choice does not depend on the order of rows."""
+    rows = [(1, "all of the first text", "a", 1), (1, "quite another thing here", "b", 2), (2, "all of the first text", "c", 3), (3, "quite another thing here", "d", 4)]
+    rows += [(1, "all of the first text", "z", 9), (7, "third text of its own", "e", 5), (None, "a fourth text alone", "f", 6), (None, "a fourth text alone", "g", 7)]
+    found = {tuple(sorted(map(tuple, simhash.keep_first(spark.createDataFrame(some, SCHEMA)).collect()), key=str)) for some in (rows, rows[::-1], rows[4:] + rows[:4])}
+    assert len(found) == 1
+    (kept,) = found
+    assert sorted((r[0], r[1]) for r in kept if r[0]) == [(1, "all of the first text"), (1, "quite another thing here"), (7, "third text of its own")]
+    assert [r[1] for r in kept if r[0] is None] == ["a fourth text alone"]
