@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedweave.llm import bpe, htmltext, kdshard, licenses, mixing, simhash, topk, toxicity, vecdedup, warc
+from feedweave.llm import bpe, htmltext, kdshard, licenses, mixing, prefixtrie, ranked, simhash, tokencount, topk, toxicity, vecdedup, warc
 
 # Production parameters.
 TOP, SCALE = 20, 64
@@ -18,6 +18,10 @@ SHINGLE_WORDS = 3
 BIT_DISTANCE = 2
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+FAMILY, MOST_SHARED_TURNS = 20, 3
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+TOKEN_LIMIT = 2048
+BEST_DOCUMENTS = 10
 
 QUERIES = {}
 ORACLES = {}
@@ -219,3 +223,106 @@ JOIN pools p ON p.number = d.number
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return simhash.near_duplicates(docs, shingle_words=SHINGLE_WORDS, distance=BIT_DISTANCE)
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixtrie.prefix_trie(table(spark, folder, "conversations"), FAMILY, MOST_SHARED_TURNS)
+
+
+_TURN_ID = "sha256(concat(octet_length(encode(coalesce(role, ''))), ':', coalesce(role, ''), coalesce(text, '')))"
+ORACLES["op11_prefix_trie"] = f"""
+WITH turns AS (
+    SELECT conv_id, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS t,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, {_TURN_ID}[1:32]) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (SELECT conv_id, list(t ORDER BY place) AS turns FROM turns GROUP BY conv_id),
+shares AS (
+    SELECT conv_id, xor(list_reduce(
+               list_prepend(CAST(4294967295 AS bigint),
+                   [CAST(ascii(CAST(conv_id AS varchar)[i]) AS bigint) FOR i IN range(1, length(CAST(conv_id AS varchar)) + 1)]),
+               lambda c, x: list_reduce(list_prepend(xor(c, x), [CAST(b AS bigint) FOR b IN range(8)]),
+                   lambda v, b: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295)
+           % {MOST_SHARED_TURNS + 1} AS h
+    FROM own
+),
+paths AS (
+    SELECT o.conv_id, CASE WHEN s.h > 0 AND d.turns IS NOT NULL THEN d.turns[1:s.h] ELSE [] END || o.turns[s.h + 1:] AS p
+    FROM own o JOIN shares s ON s.conv_id = o.conv_id LEFT JOIN own d ON d.conv_id = o.conv_id - o.conv_id % {FAMILY}
+),
+steps AS (
+    SELECT conv_id, len(p) AS n, depth, p[1:depth] AS prefix FROM (SELECT *, unnest(range(len(p) + 1)) AS depth FROM paths)
+),
+nodes AS (
+    SELECT min(conv_id) AS conv_id, depth, prefix, count(*) AS n_convs,
+           list(conv_id ORDER BY conv_id) FILTER (n = depth) AS ends
+    FROM steps GROUP BY depth, prefix
+),
+members AS (
+    SELECT s.conv_id, s.depth, n.conv_id AS node FROM steps s JOIN nodes n ON n.depth = s.depth AND n.prefix = s.prefix
+),
+linked AS (
+    SELECT n.*, m.node AS parent_conv_id FROM nodes n LEFT JOIN members m ON m.conv_id = n.conv_id AND m.depth = n.depth - 1
+),
+children AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n FROM linked WHERE depth > 0 GROUP BY ALL),
+own_values AS (
+    SELECT l.*, coalesce(c.n, 0) AS n_children,
+           CASE WHEN l.depth = 0 THEN 0
+                ELSE (l.n_convs - 1) * len(regexp_extract_all(l.prefix[-1].text, '[^\x20\x09-\x0D]+')) END AS saved
+    FROM linked l LEFT JOIN children c ON c.conv_id = l.conv_id AND c.depth = l.depth
+),
+subtrees AS (
+    SELECT m.node AS conv_id, m.depth, count(*) FILTER (v.n_children = 0) AS n_leaves, sum(v.saved) AS saved
+    FROM own_values v JOIN members m ON m.conv_id = v.conv_id AND m.depth <= v.depth
+    GROUP BY m.node, m.depth
+)
+SELECT v.conv_id, v.depth, v.parent_conv_id, v.n_convs, v.n_children, s.n_leaves,
+       CAST(s.saved AS bigint) AS saved_tokens,
+       sha256(coalesce(array_to_string(v.ends, ','), '')) AS ends_sha256
+FROM own_values v JOIN subtrees s ON s.conv_id = v.conv_id AND s.depth = v.depth
+"""
+
+
+@query
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    sized = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
+    counted = tokencount.token_counts(sized, WORD_TOKENIZER)
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"), BEST_DOCUMENTS)
+
+
+_TERMS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{}')".format(
+    ranked.TERM
+)
+ORACLES["op13_ranked_search"] = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS terms FROM documents
+),
+held AS (SELECT row, doc_id, CAST(len(terms) AS bigint) AS n, terms FROM docs WHERE len(terms) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS bigint) AS length FROM held),
+counts AS (
+    SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, n, unnest(terms) AS term FROM held) GROUP BY ALL
+),
+asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(t.docs) + 2 AS double) / CAST(2 * count(*) + 1 AS double))) AS bigint) AS w
+    FROM counts CROSS JOIN total t GROUP BY term
+),
+scored AS (
+    SELECT a.item_id, c.row, c.doc_id,
+           CAST(sum(a.times * w.w * ((1000000000 * c.tf) // (1000 * c.tf + 8 * (25 + (75 * c.n * t.docs) // t.length)))) AS bigint) AS score
+    FROM asked a JOIN counts c ON c.term = a.term JOIN weights w ON w.term = a.term CROSS JOIN total t
+    GROUP BY a.item_id, c.row, c.doc_id
+),
+ordered AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS integer) AS rank
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ordered WHERE rank <= {BEST_DOCUMENTS}
+"""

@@ -9,6 +9,7 @@ from feedweave.session import scratch_path
 
 # Rows handed to a Python worker at once. Texts may be long, so batches stay short.
 ARROW_ROWS = 1000
+ARROW_BYTES = 8 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -16,6 +17,12 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by rows and by bytes: a batch ends at the first row that reaches either."""
+    small_batches(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it again.
 

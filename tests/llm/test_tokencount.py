@@ -1,0 +1,74 @@
+import random
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from feedweave.llm import tokencount
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+LIBRARY = Tokenizer.from_file(PATH)
+ODD = [
+    "", " ", "it's", "it'sx", "'s't", "IT'LL", "!'s", "''re", "don't  stop\x1cnow", "a\x85b c", "ΑΣ Σ", "İstanbul", "étë", "́x",
+    "<|endoftext|>", "x<|startoftext|><|endoftext|>y", "<|ENDOFTEXT|>", "<|endof text|>", "日本語 한국어 ١٢٣ ½ x²", "🙂🙂👩‍👩‍👧", "ᲉꟋ", "\U00016d67a",
+    "<|", "1234567", "foo_bar--baz", "\x00a\x00", "᠎​",
+]
+
+
+def library(text):
+    return len(LIBRARY.encode(text or "", add_special_tokens=False).ids)
+
+
+def made(n):
+    r = random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyz'' ABCÉéßΣ19.,!?-\n日🙂́<|>"
+    return ["".join(r.choice(letters) if r.random() < 0.85 else r.choice(["<|endoftext|>", "ing", "the "]) for _ in range(r.randrange(1, 80))) for _ in range(n)]
+
+
+def test_transducer_equals_library():
+    counts = tokencount.PieceCounts(PATH)
+    for text in ODD + made(3000):
+        assert counts.count(text) == library(text), repr(text)
+
+
+def test_a_small_memory_does_not_show(monkeypatch):
+    monkeypatch.setattr(tokencount, "REMEMBERED_PIECES", 20)
+    monkeypatch.setattr(tokencount, "REMEMBERED_STATES", 30)
+    monkeypatch.setattr(tokencount, "REMEMBERED_PAIRS", 10)
+    counts = tokencount.PieceCounts(PATH)
+    assert [counts.count(t) for t in made(300)] == [library(t) for t in made(300)]
+
+
+@pytest.mark.parametrize("size", [1, 3, 17])
+def test_maps_of_chunks_compose_in_any_order(size):
+    counts = tokencount.PieceCounts(PATH)
+    for text in ODD + made(60):
+        maps = [counts.state_map(text[i : i + size]) for i in range(0, len(text), size)] or [("", None, "")]
+        assert counts.run(*counts.compose(maps)) == library(text)
+        while len(maps) > 1:
+            maps = [counts.compose(maps[i : i + 2]) for i in range(0, len(maps), 2)]
+        assert counts.run(*maps[0]) == library(text)
+
+
+def test_weights_of_a_path_sum_to_its_tokens():
+    transducer = tokencount.PieceCounts(PATH).transducer
+    for word in ["a", "the", "tokenization", "zzzzzzzzz", "thethethe"]:
+        state, total = transducer.start, 0
+        for symbol in (*word.encode()[:-1], word.encode()[-1] + tokencount.LAST):
+            state, added = state[symbol]
+            total += added
+        assert total == library(word)
+
+
+def test_rows(spark, rows_of):
+    texts = [None, *ODD, "x" * 5000, "word " * 3000, "a b" * 2000, "é" * 900, "<|endoftext|>" * 200, "tail\n" + "y" * 700]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(4, texts[5]), (None, "a b"), (None, "a b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "9 AS N_Tokens", "'c' AS row", "'d' AS at")
+    found = rows_of(tokencount.token_counts(df, PATH, chunk_chars=100), "doc_id", "n_tokens", "row")
+    assert found == sorted([(k, library(t), "c") for k, t in rows], key=str)
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert tokencount.token_counts(df, PATH).collect() == []
+    assert tokencount.token_counts(df, PATH).columns == ["doc_id", "n_tokens"]
