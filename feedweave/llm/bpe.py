@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
@@ -11,9 +12,9 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructType
 
-from feedweave.llm.common import small_batches
+from feedweave.llm.common import bounded_batches
 
 # Texts replayed together, in bytes, and distinct words a task remembers before it starts anew.
 BLOCK_BYTES = 8 << 20
@@ -207,6 +208,29 @@ def _without(df: DataFrame, out: str) -> DataFrame:
     return df.select(*[c for c in df.columns if c.lower() != out.lower()])
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], at: int, path: str, pattern: str) -> Iterator[tuple[pa.RecordBatch, pa.ListArray]]:
+    """Each batch with the token ids of its texts (column ``at``), replayed in blocks of bounded bytes."""
+    encoder = Encoder(path, pattern)
+
+    def flush(held: list[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.ListArray]]:
+        tokens = encoder.encode([t for b in held for t in b.column(at).to_pylist()])
+        done = 0
+        for b in held:
+            yield b, tokens.slice(done, b.num_rows)
+            done += b.num_rows
+
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(at).nbytes
+        if size >= BLOCK_BYTES:
+            yield from flush(held)
+            held, size = [], 0
+    if held:
+        yield from flush(held)
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", out: str = "tokens") -> DataFrame:
     """Add the token ids of every whole text, as an array of ints.
 
@@ -220,33 +244,32 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", o
     of the corpus nor its texts meet in one place and nothing is shuffled; words
     are independent of each other, so the blocks do not show in the result.
     """
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     rest = _without(docs, out)
     at = rest.columns.index(text)
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks_path, pattern)
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, tokens in _encoded(batches, at, ranks_path, pattern):
+            yield pa.RecordBatch.from_arrays([*batch.columns, tokens], names=[*batch.schema.names, out])
 
-        def flush(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tokens = encoder.encode([t for b in held for t in b.column(at).to_pylist()])
-            done = 0
-            for b in held:
-                yield pa.RecordBatch.from_arrays([*b.columns, tokens.slice(done, b.num_rows)], names=[*b.schema.names, out])
-                done += b.num_rows
+    schema = StructType([*rest.schema.fields]).add(out, ArrayType(IntegerType(), False), False)
+    return rest.mapInArrow(add, schema)
 
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for batch in batches:
-            held.append(batch)
-            size += batch.column(at).nbytes
-            if size >= BLOCK_BYTES:
-                yield from flush(held)
-                held, size = [], 0
-        if held:
-            yield from flush(held)
 
-    schema = StructType([*rest.schema.fields]).add(out, ArrayType(IntegerType(), False), False)
-    return rest.mapInArrow(blocks, schema)
+def _decoded(column: pa.ListArray, ranks: Ranks) -> list[bytes]:
+    """The bytes of each list of token ids."""
+    flat = column.flatten()
+    ids = flat.to_numpy(zero_copy_only=False) if not flat.null_count else np.array([-1])
+    if len(ids) and (ids.min() < 0 or ids.max() >= len(ranks.tokens)):
+        raise ValueError("a token id is not in the vocabulary")
+    ids = ids.astype(np.int64)
+    count = ranks.lengths[ids]
+    ends = np.cumsum(count)
+    shift = np.repeat(ranks.starts[ids] - (ends - count), count)
+    data = ranks.bytes[shift + np.arange(len(shift))].tobytes()
+    per_row = np.diff(np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy())]))
+    upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(per_row)])].tolist()
+    return [data[a:b] for a, b in zip(upto, upto[1:])]
 
 
 def decode(docs: DataFrame, ranks_path: str, tokens: str = "tokens", out: str = "decoded") -> DataFrame:
@@ -255,26 +278,42 @@ def decode(docs: DataFrame, ranks_path: str, tokens: str = "tokens", out: str =
     Null token lists decode to no bytes. An id outside the vocabulary, or a null id,
     raises an error. Other columns stay, one called ``out`` is replaced.
     """
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     rest = _without(docs, out)
     at = rest.columns.index(tokens)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = load_ranks(ranks_path)
         for batch in batches:
-            column = batch.column(at)
-            flat = column.flatten()
-            ids = flat.to_numpy(zero_copy_only=False) if not flat.null_count else np.array([-1])
-            if len(ids) and (ids.min() < 0 or ids.max() >= len(ranks.tokens)):
-                raise ValueError("a token id is not in the vocabulary")
-            ids = ids.astype(np.int64)
-            count = ranks.lengths[ids]
-            ends = np.cumsum(count)
-            shift = np.repeat(ranks.starts[ids] - (ends - count), count)
-            data = ranks.bytes[shift + np.arange(len(shift))].tobytes()
-            per_row = np.diff(np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy())]))
-            upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(per_row)])].tolist()
-            decoded = pa.array([data[a:b] for a, b in zip(upto, upto[1:])], pa.binary())
+            decoded = pa.array(_decoded(batch.column(at), ranks), pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, decoded], names=[*batch.schema.names, out])
 
     return rest.mapInArrow(join, StructType([*rest.schema.fields]).add(out, BinaryType(), False))
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", with_tokens: bool = True) -> DataFrame:
+    """Encode every whole text, decode the ids again, and replace the text by the digests of both.
+
+    Adds ``tokens`` (unless ``with_tokens`` is false), ``n_tokens``, ``ids_sha256`` (of the decimal ids joined by one space) and
+    ``decoded_sha256`` (of the decoded bytes); columns with these names are replaced. Texts are treated as by ``encode``. One
+    Python pass does all of it: neither texts nor decoded bytes go back to the JVM.
+    """
+    bounded_batches(docs.sparkSession)
+    added = ["tokens"] * with_tokens + ["n_tokens", "ids_sha256", "decoded_sha256"]
+    others = [c for c in docs.columns if c != text and c.lower() not in added]
+    rest = docs.select(*others, text)
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = load_ranks(ranks_path)
+        decimal = [str(k) for k in range(len(ranks.tokens))]
+        for batch, tokens in _encoded(batches, len(others), ranks_path, pattern):
+            ids = [" ".join([decimal[t] for t in row]) for row in tokens.to_pylist()]
+            columns = [pa.array([hashlib.sha256(x).hexdigest() for x in found]) for found in (map(str.encode, ids), _decoded(tokens, ranks))]
+            columns = [tokens] * with_tokens + [tokens.value_lengths().cast(pa.int64()), *columns]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], *columns], names=[*others, *added])
+
+    schema = StructType([*rest.select(*others).schema.fields])
+    if with_tokens:
+        schema = schema.add("tokens", ArrayType(IntegerType(), False), False)
+    schema = schema.add("n_tokens", LongType(), False).add("ids_sha256", StringType(), False).add("decoded_sha256", StringType(), False)
+    return rest.mapInArrow(digest, schema)

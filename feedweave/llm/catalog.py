@@ -77,19 +77,8 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    tokens = bpe.encode(docs, RANKS, PATTERN).drop("text")
-    return token_digests(bpe.decode(tokens, RANKS)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
-
-
-def token_digests(decoded: DataFrame) -> DataFrame:
-    ids = F.array_join(F.col("tokens").cast("array<string>"), " ")
-    return decoded.withColumns(
-        {
-            "n_tokens": F.size("tokens").cast("long"),
-            "ids_sha256": F.sha2(ids, 256),
-            "decoded_sha256": F.sha2(F.col("decoded"), 256),
-        }
-    )
+    tokens = bpe.round_trip(docs, RANKS, PATTERN, with_tokens=False)
+    return tokens.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 @query

@@ -50,15 +50,20 @@ def test_round_trip_and_digests(spark, reference, monkeypatch):
     docs = spark.createDataFrame([(k, t, "old", 7) for k, t in enumerate(texts)], "doc_id long, text string, tokens string, x int")
     tokens = bpe.encode(docs, PATH, PATTERN)
     assert tokens.columns == ["doc_id", "text", "x", "tokens"]
-    rows = catalog.token_digests(bpe.decode(tokens, PATH)).collect()
+    decoded = {r["doc_id"]: bytes(r["decoded"]) for r in bpe.decode(tokens, PATH).collect()}
+    digests = bpe.round_trip(docs, PATH, PATTERN)
+    assert digests.columns == ["doc_id", "x", "tokens", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert "tokens" not in bpe.round_trip(docs, PATH, PATTERN, with_tokens=False).columns
+    rows = digests.collect()
     assert len(rows) == len(texts)
     for r in rows:
         data = (texts[r["doc_id"]] or "").encode()
         ids = reference.encode_ordinary(data.decode())
-        assert (r["n_tokens"], r["tokens"], bytes(r["decoded"])) == (len(ids), ids, data)
+        assert (r["n_tokens"], r["tokens"], decoded[r["doc_id"]]) == (len(ids), ids, data)
         assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(data).hexdigest()
     assert bpe.encode(docs.where("false"), PATH, PATTERN).count() == 0
+    assert bpe.round_trip(docs.where("false"), PATH, PATTERN).count() == 0
 
 
 def test_decode_of_odd_lists(spark):
