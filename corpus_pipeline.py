@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedweave.llm import bpe, mixing, simhash, toxicity
-from feedweave.llm.catalog import BIT_DISTANCE, OTHER_WEIGHT, PATTERN, RANKS, SHINGLE_WORDS, TARGET_WEIGHTS, token_digests
+from feedweave.llm.catalog import BIT_DISTANCE, OTHER_WEIGHT, PATTERN, RANKS, SHINGLE_WORDS, TARGET_WEIGHTS
 from feedweave.llm.common import materialise
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -52,8 +52,7 @@ def with_position(docs: DataFrame) -> DataFrame:
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, its position in the mix, and the digests that show the exact round trip."""
-    tokens = bpe.encode(with_position(docs).select("doc_id", "position", "text"), RANKS, PATTERN).drop("text")
-    return token_digests(bpe.decode(tokens, RANKS)).drop("decoded")
+    return bpe.round_trip(with_position(docs).select("doc_id", "position", "text"), RANKS, PATTERN)
 
 
 STAGES = [
