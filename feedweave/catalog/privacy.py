@@ -5,7 +5,7 @@ import secrets
 from pyspark.sql import functions as F
 
 from ..functions.dates import birth_year_topcode
-from ..functions.privacy import KeyRing, encode_base64, publish_token, tokenise, zip3_generalise
+from ..functions.privacy import KeyRing, base64_line, encode_base64, publish_token, tokenise, zip3_generalise
 from ..functions.text import in_any_case, suppress_when
 from ..operators.lookups import flag_if_in
 from . import duck
@@ -123,29 +123,49 @@ def publish_tokens(t: Tables):
 NAMED = {"name": "CASE WHEN c_nationkey = 5 THEN NULL ELSE c_name || ' é' END"}
 
 
+def altered(token, where):
+    """The token with one hexadecimal digit of its bytes replaced by the next, at a place that varies by row."""
+    digits = F.hex(F.unbase64(token))
+    at = F.pmod(where, F.length(digits)) + 1
+    other = F.translate(F.substring(digits, at, F.lit(1)), "0123456789ABCDEF", "123456789ABCDEF0")
+    return base64_line(F.unhex(F.overlay(digits, other, at)))
+
+
 @query(
     "protect_roundtrip",
-    "SELECT name, count(*) AS people, count(DISTINCT name) AS tokens FROM "
-    "(SELECT CASE WHEN c_nationkey = 5 THEN NULL ELSE c_mktsegment || ' é' END AS name FROM customer) GROUP BY name",
+    """
+    SELECT CASE WHEN NOT broken THEN name END AS name, broken, count(*) AS people,
+      count(DISTINCT CASE WHEN NOT broken THEN name END) AS tokens
+    FROM (SELECT CASE WHEN c_nationkey = 5 THEN NULL ELSE c_mktsegment || ' é' END AS name, c_custkey % 4 = 0 AS broken FROM customer)
+    GROUP BY 1, 2
+    """,
 )
 def protect_roundtrip(t: Tables):
-    """Equal values share one token, and every token decrypts to its value."""
+    """Equal values share one token, every token opens to its value, and an altered token does not open."""
     ring = fresh_keys("1")
-    rows = t.customer.selectExpr("CASE WHEN c_nationkey = 5 THEN NULL ELSE c_mktsegment || ' é' END AS name")
-    tokens = rows.select(ring.protect(F.col("name"), "1").alias("token"))
-    clear = tokens.select(ring.unprotect(F.col("token"), "1").alias("name"), "token")
-    return clear.groupBy("name").agg(F.count("*").alias("people"), F.count_distinct("token").alias("tokens"))
+    rows = t.customer.selectExpr(
+        "CASE WHEN c_nationkey = 5 THEN NULL ELSE c_mktsegment || ' é' END AS name", "c_custkey % 4 = 0 AS broken", "c_custkey"
+    )
+    token = ring.protect(F.col("name"), "1")
+    tokens = rows.select("broken", F.when(F.col("broken"), altered(token, F.col("c_custkey"))).otherwise(token).alias("token"))
+    clear = tokens.select(ring.unprotect(F.col("token"), "1").alias("name"), "broken", "token")
+    sound = F.when(~F.col("broken"), F.col("token"))
+    return clear.groupBy("name", "broken").agg(F.count("*").alias("people"), F.count_distinct(sound).alias("tokens"))
 
 
 @query(
     "reprotect_column",
-    _sql("customer", "c_custkey", NAMED, {"name": "name", "changed": "name IS NOT NULL"}),
+    _sql("customer", "c_custkey", NAMED, {
+        "name": "CASE WHEN c_custkey % 3 > 0 THEN name END", "changed": "name IS NOT NULL AND c_custkey % 3 > 0"
+    }),
 )
 def reprotect_column(t: Tables):
-    """A token moved from one key to another: it differs, and opens with the new key."""
+    """A token moved from one key to another: it differs, and opens with the new key. An altered token is not moved."""
     ring = fresh_keys("8000", "1")
     rows = _rows(t, "customer", "c_custkey", NAMED)
-    rows = rows.select("c_custkey", ring.protect(F.col("name"), "8000").alias("old"))
+    stored = ring.protect(F.col("name"), "8000")
+    stored = F.when(F.col("c_custkey") % 3 == 0, altered(stored, F.col("c_custkey"))).otherwise(stored)
+    rows = rows.select("c_custkey", stored.alias("old"))
     rows = rows.withColumn("new", ring.reprotect(F.col("old"), "8000", "1"))
     return rows.select(
         "c_custkey",

@@ -6,12 +6,16 @@ stated once and both engines derive the same rows from the same tables.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed_values as fixed
+from ..session import scratch_path
+from ..sources.storage import Store
 from .registry import Tables
 
 # --- purchase feed ---------------------------------------------------------
@@ -261,3 +265,15 @@ def claims(t: Tables) -> DataFrame:
     return joined.repartition(parts, "l_orderkey", "l_linenumber").selectExpr(
         *[f"{e} AS {c}" for c, e in CLAIM_COLUMNS.items()]
     )
+
+
+def add_file(t: Tables, folder: str, header: Sequence[str], lines: DataFrame, name: str = "damaged.dat") -> None:
+    """One more file in a landing folder: a header and the given lines as they are."""
+    store, place = Store(t.spark), scratch_path(t.spark, "lines")
+    first = t.spark.createDataFrame([(0, fixed.FIELD_SEPARATOR.join(header))], "part int, line string")
+    # a landing file is one file by contract, its header first
+    both = first.union(lines.toDF("line").select(F.lit(1), "line"))
+    both.repartition(1).sortWithinPartitions("part").select("line").write.text(place)
+    (part,) = [n for n in store.names(place) if n.startswith("part-")]
+    store.make(folder)
+    store.move(f"{place}/{part}", f"{folder}/{name}")

@@ -1,9 +1,9 @@
 """Protection of columns: reversible tokens, one-way tokens, generalised places.
 
 Reversible tokens use AES-CBC with an initial vector derived from the key and
-the value, so equal values give equal tokens and joins and ``distinct`` keep
-working. CBC carries no integrity tag: a changed token may decrypt to other
-text. Keys come from the session settings or the caller and are never written
+the value (a synthetic vector), so equal values give equal tokens and joins and ``distinct`` keep
+working. The vector is also the integrity check: a token opens only if its clear text
+gives the vector that it carries. Keys come from the session settings or the caller and are never written
 here; set ``spark.sql.redaction.string.regex`` to hide them in plan texts.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KEY_PREFIX = "spark.feedweave.key."
+VECTOR_BYTES = 16
 
 
 def base64_line(c: Column) -> Column:
@@ -35,16 +36,18 @@ class KeyRing:
 
     def protect(self, c: Column, key_id: str) -> Column:
         """Deterministic reversible token, Base64. Null stays null."""
-        key = self.keys[key_id]
         text = c.cast("string")
-        vector = F.unhex(F.substring(F.sha2(F.concat(F.lit(key), F.lit("|"), text), 256), 1, 32))
-        return base64_line(F.aes_encrypt(text, F.unhex(F.lit(key)), F.lit("CBC"), F.lit("PKCS"), vector))
+        key = F.unhex(F.lit(self.keys[key_id]))
+        return base64_line(F.aes_encrypt(text, key, F.lit("CBC"), F.lit("PKCS"), self._vector(text, key_id)))
+
+    def _vector(self, text: Column, key_id: str) -> Column:
+        return F.unhex(F.substring(F.sha2(F.concat(F.lit(self.keys[key_id]), F.lit("|"), text), 256), 1, 2 * VECTOR_BYTES))
 
     def unprotect(self, c: Column, key_id: str) -> Column:
-        """Clear text of a token; null for null and for text that is no token of this key."""
+        """Clear text of a token; null for null, for text that is no token of this key, and for an altered token."""
         raw = F.try_to_binary(c, F.lit("base64"))
-        clear = F.try_aes_decrypt(raw, F.unhex(F.lit(self.keys[key_id])), F.lit("CBC"), F.lit("PKCS"))
-        return clear.cast("string")
+        clear = F.try_aes_decrypt(raw, F.unhex(F.lit(self.keys[key_id])), F.lit("CBC"), F.lit("PKCS")).cast("string")
+        return F.when(self._vector(clear, key_id) == F.substring(raw, 1, VECTOR_BYTES), clear)
 
     def reprotect(self, c: Column, from_key: str, to_key: str) -> Column:
         """Swap the key of a token inside one expression: clear text is never stored."""

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fixed
 from ..functions.privacy import KeyRing
 from ..operators.filters import drop_null_tokens
-from ..sources.readers import read_cohorts
-from ..sources.storage import Store
-from ..sources.writers import verify_written, write_with_manifest
+from ..sources.publishing import Publication
+from ..sources.readers import read_cohorts, split_damaged
+from ..sources.writers import verify_written, write_lines, write_with_manifest
 
 
-STORED = "__stored"
+STORED, DAMAGED = "__stored", "line"
 
 
 @dataclass(frozen=True)
@@ -59,33 +59,40 @@ def unreadable(contacts: DataFrame, cfg: Settings) -> DataFrame:
 
 @dataclass(frozen=True)
 class Outcome:
-    """``status`` per cohort; manifest and read-back check, None when nothing was ready; rows set aside."""
+    """What a run has done.
+
+    ``status`` per cohort; manifest and read-back check (None when nothing was ready); counts of the rows set aside and of the
+    lines that have more or fewer fields than their header; the cohorts that this run has published.
+    """
 
     status: DataFrame
     manifest: dict[str, object] | None
     check: DataFrame | None
     unreadable: int = 0
+    malformed: int = 0
+    published: Sequence[str] = ()
 
 
 def run(spark: SparkSession, folder: str, out: str, cfg: Settings, glob: str = "*.dat") -> Outcome:
-    """All ready cohorts in one job, each to its own folder ``cohort=<tag>``.
+    """All ready cohorts in one job, each to its own folder ``cohort=<tag>``, published as a whole.
 
-    Only the cohorts of this run are replaced. Rows whose e-mail does not open go to
-    ``<out>_unreadable``, by cohort, and are counted.
+    The run's folder under ``out`` holds ``feed``, ``unreadable`` (rows whose e-mail does not open) and ``malformed`` (lines that
+    cannot be read, as they came), each by cohort, and manifests beside the first two. The feed is read back and
+    compared cell by cell before the run is published (``sources.publishing``); if it differs, or the run fails, the last
+    published outputs stay in force. Only the cohorts of this run are replaced.
     """
-    contacts, status = read_cohorts(spark, folder, cfg.tags, glob=glob)
+    contacts, status = read_cohorts(spark, folder, cfg.tags, glob=glob, damaged=DAMAGED)
     if contacts is None:
         return Outcome(status, None, None)
     ready = [r[0] for r in status.filter("status = 'ok'").select("cohort").collect()]
-    for cohort in ready:  # what an earlier run has left of these cohorts
-        for place in (out, f"{out}_unreadable"):
-            Store(spark).delete(f"{place}/cohort={cohort}")
-    written = write_with_manifest(
-        spark, build(contacts, cfg), out, sep=fixed.FIELD_SEPARATOR, partition_by=["cohort"]
-    )
-    aside = write_with_manifest(
-        spark, unreadable(contacts, cfg), f"{out}_unreadable", sep=fixed.FIELD_SEPARATOR, partition_by=["cohort"]
-    )
-    paths = [f"{out}/cohort={c}" for c in ready if Store(spark).names(f"{out}/cohort={c}")]
-    check = verify_written(spark, paths, written["rows"], sep=fixed.FIELD_SEPARATOR) if paths else None
-    return Outcome(status, written, check, aside["rows"])
+    sound, lines = split_damaged(contacts, DAMAGED)
+    with Publication(spark, out) as publication:
+        feed = build(sound, cfg)
+        written = write_with_manifest(spark, feed, publication.path("feed"), fixed.FIELD_SEPARATOR, ["cohort"])
+        aside = write_with_manifest(spark, unreadable(sound, cfg), publication.path("unreadable"), fixed.FIELD_SEPARATOR, ["cohort"])
+        write_lines(lines, publication.path("malformed"), DAMAGED, ["cohort"])
+        (checked,) = verify_written(spark, publication.path("feed"), written, feed.columns, fixed.FIELD_SEPARATOR).collect()
+        malformed = spark.read.schema(f"{DAMAGED} string, cohort string").text(publication.path("malformed")).count()
+        published = publication.commit(ready) if checked["ok"] else []
+    check = spark.createDataFrame([tuple(checked)], "expected long, found long, ok boolean")
+    return Outcome(status, written, check, aside["rows"], malformed, published)

@@ -23,6 +23,7 @@ from ..operators import filters, lookups
 from ..operators.dedupe import dedupe_keys, latest_per_key
 from ..operators.joins import join_on_struct
 from ..operators.totals import MONEY, total_per_group
+from ..sources.publishing import Publication
 from ..sources.writers import write_with_manifest
 
 
@@ -60,6 +61,8 @@ class Settings:
         return cls(first_day=run_date - dt.timedelta(days=1), last_day=run_date, **other)
 
 
+# the part of a run's folder that holds the feed, and the name it is published under
+FEED = "feed"
 SALE_KEYS = ("RFN", "STORE_NBR", "SALES_TXN_DT")
 LINE_KEYS = ("RFN", "UPC_NBR", "SALES_TXN_DT", "LINE_ITEM_SEQ_NBR", "STORE_NBR")
 PRICE_KEYS = ("RFN", "UPC_NBR", "SALES_TXN_DT", "PRICE", "STORE_NBR")
@@ -233,5 +236,13 @@ def publish(feed: DataFrame, cfg: Settings) -> DataFrame:
 
 
 def run(spark: SparkSession, tables: Tables, cfg: Settings, out: str) -> dict[str, object]:
-    """Build, publish and write the feed; returns the manifest."""
-    return write_with_manifest(spark, publish(build(tables, cfg), cfg), out)
+    """Build, publish and write the feed; returns the manifest.
+
+    The feed is the part ``feed`` of a run's folder under ``out`` and is published as a whole
+    (``sources.publishing``): if the run fails, the last feed stays in force.
+    """
+    with Publication(spark, out) as publication:
+        written = write_with_manifest(spark, publish(build(tables, cfg), cfg), publication.path(FEED))
+        if not publication.commit([FEED]):
+            raise RuntimeError(f"another run has published {out} since this one began")
+    return written

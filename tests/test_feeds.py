@@ -11,7 +11,7 @@ from feedweave.functions import fixed_values as fixed
 from feedweave.functions.privacy import KeyRing
 from feedweave.operators import state
 from feedweave.plans import claim_layout, contact_feed, fixed_extract, purchase_feed
-from feedweave.sources import readers, writers
+from feedweave.sources import publishing, readers, writers
 
 FOLDER = "/root/testdata/sf0.001"
 SEP = fixed.FIELD_SEPARATOR
@@ -24,6 +24,12 @@ def lines(path):
     )
 
 
+def parts_of(spark, out, part):
+    """All lines of one part of the published extracts."""
+    paths = publishing.published(spark, str(out), part, "extract")
+    return sorted(x for p in paths for x in lines(type(out)(p)))
+
+
 def test_layout_is_the_agreed_record():
     layout = claim_layout.CLAIM_LAYOUT
     assert layout.width == fixed.RECORD_WIDTH and len(layout.fields) == 101 and len(layout.source_columns) == 85
@@ -79,11 +85,11 @@ def test_fixed_extract_run(spark, tmp_path):
     assert open_files
     valid = sorted(r.fixedlength for r in expected if r.status == "valid" and r.extract_file.rsplit("/", 1)[1] in open_files)
     rejects = [r for r in expected if r.status == "reject" and r.extract_file.rsplit("/", 1)[1] in open_files]
-    assert lines(out / "valid") == valid and all(len(x.encode()) == 708 for x in valid)
-    back = readers.read_delimited(spark, str(out / "rejects"), sep=",").collect()
+    assert parts_of(spark, out, "valid") == valid and all(len(x.encode()) == 708 for x in valid)
+    back = readers.read_delimited(spark, publishing.published(spark, str(out), "rejects", "extract"), sep=",").collect()
     assert sorted(r.fixedlength for r in back) == sorted(r.fixedlength for r in rejects)
     for r in by_file.values():
-        assert r.total == r.plan_excluded + r.term_excluded + r.valid + r.rejected
+        assert r.total == r.plan_excluded + r.term_excluded + r.valid + r.rejected + r.malformed and r.malformed == 0
 
     after = {r.extract_landing_path: r for r in state.read_state(spark, root).collect()}
     assert after["/never/landed.dat"].transformation_complition_flag == "N"
@@ -132,8 +138,8 @@ def test_contact_feed_run(spark, tmp_path):
     result = contact_feed.run(spark, str(inbox), str(tmp_path / "out"), cfg)
     status = {r.cohort: r.status for r in result.status.collect()}
     assert status == {"ConsentA": "ok", "ConsentB": "multiple", "ConsentC": "missing"}
-    assert result.manifest["rows"] == 1 and result.check.first().ok
-    back = readers.read_delimited(spark, str(tmp_path / "out" / "cohort=ConsentA"))
+    assert result.manifest["rows"] == 1 and result.check.first().ok and result.published == ["ConsentA"]
+    back = readers.read_delimited(spark, publishing.published(spark, str(tmp_path / "out"), "feed", "cohort"))
     (r,) = back.select("PATIENT_ID", "PATIENT_FIRST_NAME", ring.unprotect(F.col("EMAIL"), "1").alias("EMAIL")).collect()
     assert tuple(r) == ("1", 'Ann "A"', "a@b")
     none = contact_feed.run(spark, str(inbox), str(tmp_path / "none"), replace(cfg, tags=("ConsentC",)))
@@ -148,12 +154,15 @@ def test_purchase_feed_run(spark, tmp_path):
     clear = purchase_feed.build(feeds.purchase_tables(t), cfg)
     assert written["rows"] == clear.count() > 0
     assert written["rows_with_header"] == written["rows"] + 1
-    back = readers.read_delimited(spark, out, sep="|")
+    (path,) = publishing.published(spark, out, "feed")
+    back = readers.read_delimited(spark, path, sep="|")
     ids = back.select(cfg.keys.unprotect(F.unbase64("user_id").cast("string"), "1").alias("u")).distinct()
     assert sorted(r.u for r in ids.collect()) == sorted(r[0] for r in clear.select("user_id").distinct().collect())
-    manifest = spark.read.json(out + "_manifest").first()
-    assert manifest.rows == written["rows"]
-    assert writers.verify_written(spark, out, written["rows"] + 1).first().ok is False
+    manifest = spark.read.json(path + "_manifest").first()
+    assert manifest.rows == written["rows"] and int(manifest.checksum_2) == written["checksum_2"]
+    assert writers.verify_written(spark, path, written, clear.columns).first().ok
+    more = written | {"rows": written["rows"] + 1}
+    assert writers.verify_written(spark, path, more, clear.columns).first().ok is False
 
 
 def test_sales_without_valid_fields_leave(spark):
@@ -210,10 +219,10 @@ def test_files_with_other_headers_blanks_and_folders(spark, tmp_path):
     (tmp_path / "short.dat").write_text(SEP.join("xy") + "\n" + SEP.join("89") + "\n")
     (tmp_path / "empty.dat").write_text(SEP.join("zyx") + "\n")
     paths = [str(tmp_path / p) for p in ("a b", "short.dat", "empty.dat")]
-    landed = readers.read_landed(spark, paths, ["x", "y", "z"], "file")
-    assert sorted(map(tuple, landed.rows.collect())) == [("1", "2", "3", paths[0]), ("6", "5", "4", paths[0])]
+    landed = readers.read_landed(spark, paths, ["x", "y", "z"], "file", "damaged")
+    assert sorted(map(tuple, landed.rows.collect())) == [("1", "2", "3", None, paths[0]), ("6", "5", "4", None, paths[0])]
     assert landed.unreadable == {paths[1]: ["z"]}
-    assert readers.read_landed(spark, paths[1:2], ["z"], "file").rows is None
+    assert readers.read_landed(spark, paths[1:2], ["z"], "file", "damaged").rows is None
 
 
 def test_second_run_leaves_other_extracts_alone(spark, tmp_path):
@@ -223,12 +232,13 @@ def test_second_run_leaves_other_extracts_alone(spark, tmp_path):
     paths = write_claims(claims, tmp_path)
     state.write_state(spark, _state_table(spark, paths[:1]), root)
     fixed_extract.run(spark, root, feeds.claim_lookups(t), str(out), cfg)
-    before = {p.name: lines(p) for p in (out / "valid").glob("extract=*")}
+    valid = lambda: {p.rsplit("/", 1)[1]: lines(tmp_path.__class__(p)) for p in publishing.published(spark, str(out), "valid", "extract")}
+    before = valid()
     state.write_state(spark, state.read_state(spark, root).union(_state_table(spark, paths[1:2])), root)
     fixed_extract.run(spark, root, feeds.claim_lookups(t), str(out), cfg)
-    after = {p.name: lines(p) for p in (out / "valid").glob("extract=*")}
+    after = valid()
     assert len(before) == 1 and len(after) == 2 and after.items() >= before.items()
-    assert spark.read.parquet(str(out / "totals")).count() == 2
+    assert spark.read.parquet(*publishing.published(spark, str(out), "totals", "extract")).count() == 2
     shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
     assert not list(tmp_path.__class__(shared).glob("feedweave/claims-*")), "staged rows are deleted"
 
@@ -252,6 +262,150 @@ def test_staged_rows_are_deleted_on_failure(spark, tmp_path, monkeypatch):
     assert {r.transformation_complition_flag for r in state.read_state(spark, root).collect()} == {"N"}
 
 
+def test_lines_with_other_numbers_of_fields_are_quarantined(spark, tmp_path):
+    t, out, root = Tables(spark, FOLDER), tmp_path / "out", str(tmp_path / "state")
+    cfg = replace(feeds.extract_settings(claim_layout.VARIANT_2), reject_threshold=100.0)
+    (path,) = write_claims(feeds.protected_claims(t, cfg.keys).filter("extract_file LIKE '%claims_1%'"), tmp_path)
+    file = tmp_path.__class__(path)
+    good = file.read_text().splitlines()
+    bad = [SEP.join(["shifted", good[1]]), good[2].split(SEP, 3)[0], good[3].rsplit(SEP, 1)[0], '"open quote' + SEP + "x"]
+    file.write_text("\n".join([good[0], bad[0], *good[1:], *bad[1:]]) + "\n")
+    state.write_state(spark, _state_table(spark, [path]), root)
+    (r,) = fixed_extract.run(spark, root, feeds.claim_lookups(t), str(out), cfg).collect()
+    assert parts_of(spark, out, "malformed") == sorted(bad)
+    assert (r.malformed, r.total) == (4, len(good) - 1 + 4) and r.decision == "with_rejects"
+    assert len(parts_of(spark, out, "valid")) == r.valid
+    (row,) = state.read_state(spark, root).collect()
+    assert row.layout_reject_record_count == r.rejected + 4
+    # many of them stop the extract
+    file.write_text("\n".join([good[0], good[1], *bad]) + "\n")
+    state.write_state(spark, _state_table(spark, [path]), root)
+    (r,) = fixed_extract.run(spark, root, feeds.claim_lookups(t), str(out), replace(cfg, reject_threshold=50.0)).collect()
+    assert r.decision == "stop" and parts_of(spark, out, "valid") == []
+
+
+def test_many_headers_take_one_job_for_each_kind(spark, tmp_path):
+    for k in range(60):
+        (tmp_path / f"f{k:02d}.dat").write_text(SEP.join("abc" if k % 2 else "cba") + "\n" + SEP.join("123") + "\n")
+    files = sorted("file:" + str(p) for p in tmp_path.glob("*.dat"))
+    spark.sparkContext.setJobGroup("headers", "headers")
+    found = readers.read_headers(spark, files)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found[files[0]] == ("c", "b", "a") and found[files[1]] == ("a", "b", "c") and len(found) == 60
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers")) <= 2
+
+
+def broken_writer(real, fail_on):
+    """A writer that fails at its n-th call."""
+    calls = []
+
+    def write(*args, **kwargs):
+        calls.append(1)
+        if len(calls) == fail_on:
+            raise RuntimeError("no space")
+        return real(*args, **kwargs)
+
+    return write
+
+
+def test_a_failed_contact_run_leaves_the_last_feed(spark, tmp_path, monkeypatch):
+    ring = KeyRing({"8000": "aa" * 16, "1": "bb" * 16})
+    cfg, inbox, out = contact_feed.Settings(keys=ring, tags=("ConsentA",)), tmp_path / "in", str(tmp_path / "out")
+    inbox.mkdir()
+
+    def land(*people):
+        df = spark.createDataFrame([(p,) for p in people], "c string")
+        tokens = [r[0] for r in df.select(ring.protect(F.col("c"), "8000")).collect()]
+        rows = [SEP.join([p, "P", "Ann", "Lee", "1990-01-01", "EMAIL", token, "", "Site", "1", "EN"]) for p, token in zip(people, tokens)]
+        (inbox / "ConsentA.dat").write_text("\n".join([SEP.join(fixed.CONTACT_COLUMNS), *rows, "half a line"]) + "\n")
+
+    def shown():
+        back = readers.read_delimited(spark, publishing.published(spark, out, "feed", "cohort"))
+        return sorted(r.PATIENT_ID for r in back.collect())
+
+    land("1", "2")
+    first = contact_feed.run(spark, str(inbox), out, cfg)
+    assert (first.malformed, first.published) == (1, ["ConsentA"]) and shown() == ["1", "2"]
+    assert lines(tmp_path.__class__(publishing.published(spark, out, "malformed", "cohort")[0])) == ["half a line"]
+    land("3")
+    for fail_on in (1, 2):
+        with monkeypatch.context() as patch:
+            patch.setattr(contact_feed, "write_with_manifest", broken_writer(writers.write_with_manifest, fail_on))
+            try:
+                contact_feed.run(spark, str(inbox), out, cfg)
+            except RuntimeError:
+                pass
+            else:
+                raise AssertionError("the run must fail")
+        assert shown() == ["1", "2"] and len(list((tmp_path / "out" / "runs").iterdir())) == 1
+    # a feed that does not read back as written is not published either
+    with monkeypatch.context() as patch:
+        patch.setattr(contact_feed, "verify_written", lambda spark, path, seen, *a: writers.verify_written(spark, path, seen | {"checksum_2": 1}, *a))
+        assert contact_feed.run(spark, str(inbox), out, cfg).published == []
+    assert shown() == ["1", "2"]
+    assert contact_feed.run(spark, str(inbox), out, cfg).published == ["ConsentA"] and shown() == ["3"]
+
+
+def test_of_two_overlapping_runs_the_first_to_commit_is_published(spark, tmp_path):
+    out = str(tmp_path / "out")
+
+    def write(run, text):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(run.path("part"))
+
+    with publishing.Publication(spark, out) as slow, publishing.Publication(spark, out) as fast:
+        write(slow, "slow")
+        write(fast, "fast")
+        assert fast.commit(["a", "b"]) == ["a", "b"]
+        assert slow.commit(["b", "c"]) == ["c"]
+    folders = publishing.current(spark, out)
+    assert {k: f.rsplit("/", 1)[1] == fast.folder.rsplit("/", 1)[1] for k, f in folders.items()} == {"a": True, "b": True, "c": False}
+    with publishing.Publication(spark, out) as late:
+        write(late, "late")
+        assert publishing.Publication(spark, out).commit(["a"]) == ["a"]
+        assert late.commit(["a"]) == []
+    assert not (tmp_path / "out" / late.folder).exists()
+
+
+def test_superseded_runs_are_deleted_after_a_while(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for k in range(6):
+        with publishing.Publication(spark, out) as run:
+            spark.createDataFrame([(str(k),)], "value string").coalesce(1).write.text(run.path("part"))
+            assert run.commit(["feed"]) == ["feed"]
+    assert len(list((tmp_path / "out" / "runs").iterdir())) == 1 + publishing.KEPT_RUNS
+    assert [r.value for r in spark.read.text(publishing.published(spark, out, "part")).collect()] == ["5"]
+
+
+def test_manifest_tells_rows_apart(spark):
+    seen = lambda *rows: tuple(writers.manifest(spark.createDataFrame(list(rows), "a string, b string")).first())
+    assert seen(("a|b", "c"), (None, "z")) != seen(("a", "b|c"), ("", "z"))
+    assert seen(("1:x", "y")) != seen(("", "1:x1:y")) and seen((None, None)) != seen(("N", None))
+    assert seen(("x", "y"), ("x", "y"), ("p", "q")) != seen(("x", "y"), ("p", "q"), ("p", "q"))
+    assert seen(("x", "y"), ("p", "q")) == seen(("p", "q"), ("x", "y"))
+
+
+def test_read_back_finds_what_the_format_cannot_hold(spark, tmp_path):
+    good = [("a b", None, ""), (" cut ", "q\"uote", "c,|d"), ("", "  ", "é")]
+    for name, rows, ok in (("good", good, True), ("bad", [*good, ("line\nbreak", "x", "y")], False)):
+        df = spark.createDataFrame(rows, "a string, b string, c string")
+        seen = writers.write_with_manifest(spark, df, str(tmp_path / name))
+        assert writers.verify_written(spark, str(tmp_path / name), seen, df.columns).first().ok is ok
+
+
+def test_altered_tokens_do_not_open(spark):
+    ring = KeyRing({"1": "cc" * 16, "2": "dd" * 16})
+    clear = "hello world, a text of some blocks é"
+    token = spark.createDataFrame([(clear,)], "c string").select(F.unbase64(ring.protect(F.col("c"), "1"))).first()[0]
+    changed = [bytes(b ^ (1 << bit) if i == at else b for i, b in enumerate(token)) for at in range(len(token)) for bit in (0, 5)]
+    rows = [(token,), *[(c,) for c in changed], (bytes(token[:-16]),), (bytes(token) + b"0" * 16,), (b"",)]
+    df = spark.createDataFrame(rows, "raw binary").select(F.base64("raw").alias("t"))
+    found = [r[0] for r in df.select(ring.unprotect(F.col("t"), "1")).collect()]
+    assert found == [clear] + [None] * (len(rows) - 1)
+    assert df.limit(1).select(ring.unprotect(F.col("t"), "2")).first()[0] is None
+    moved = df.select(ring.unprotect(ring.reprotect(F.col("t"), "1", "2"), "2")).collect()
+    assert [r[0] for r in moved] == found
+
+
 def test_contact_feed_needs_its_columns_and_sets_unreadable_rows_aside(spark, tmp_path):
     ring = KeyRing({"8000": "aa" * 16, "1": "bb" * 16})
     cfg = contact_feed.Settings(keys=ring, tags=("ConsentA",))
@@ -260,7 +414,7 @@ def test_contact_feed_needs_its_columns_and_sets_unreadable_rows_aside(spark, tm
     values = ["7", "P", "Ann", "Lee", "1990-01-01", "EMAIL", "no token", "", "Site", "1", "EN"]
     (inbox / "ConsentA.dat").write_text(SEP.join(fixed.CONTACT_COLUMNS) + "\n" + SEP.join(values) + "\n")
     result = contact_feed.run(spark, str(inbox), str(tmp_path / "out"), cfg)
-    assert result.manifest["rows"] == 0 and result.unreadable == 1 and result.check is None
+    assert result.manifest["rows"] == 0 and result.unreadable == 1 and result.check.first().ok
     (inbox / "ConsentA.dat").write_text("EMAIL" + SEP + "DOB\nx" + SEP + "y\n")
     try:
         contact_feed.run(spark, str(inbox), str(tmp_path / "out2"), cfg)

@@ -186,3 +186,12 @@ def test_processed_rows_and_unknown_columns(spark):
     assert got == {("N", 7), ("Y", None)}
     with pytest.raises(ValueError, match="no column m"):
         state.apply_state(table, changes.withColumnRenamed("n", "m"))
+
+
+def test_old_versions_of_the_state_are_deleted(spark, tmp_path):
+    root = str(tmp_path / "state")
+    for k in range(state.KEPT_VERSIONS + 3):
+        assert state.write_state(spark, spark.createDataFrame([(k,)], "v int").coalesce(1), root) == k + 1
+    assert len(list((tmp_path / "state").glob("version=*"))) == state.KEPT_VERSIONS
+    assert state.read_state(spark, root).first().v == state.KEPT_VERSIONS + 2
+    assert state.read_state(spark, root, 4).first().v == 3
