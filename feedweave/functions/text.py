@@ -2,18 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import re
+from collections.abc import Iterable, Mapping, Sequence
 from itertools import product
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .fixed_values import PLAIN_TEXT
+from .fixed_values import FIELD_SEPARATOR, PLAIN_TEXT
+
+
+def listed(drop: str) -> str:
+    """A character class with its ranges written out: Java tests listed characters by one table, ranges one after the other."""
+    return re.sub(r"(\w)-(\w)", lambda m: "".join(map(chr, range(ord(m[1]), ord(m[2]) + 1))), drop)
 
 
 def clean(c: Column, drop: str = PLAIN_TEXT) -> Column:
     """Remove every character matched by the class ``drop``."""
-    return F.regexp_replace(c, drop, "")
+    return F.regexp_replace(c, listed(drop), "")
+
+
+def cleaned_together(texts: Sequence[Column], drop: str = PLAIN_TEXT) -> Column:
+    """All texts cleaned, as one array; null is empty there.
+
+    The texts are joined, cleaned by one pass, and split again. Where one of them holds the
+    joining character itself, the row's texts are cleaned one by one.
+    """
+    full = [F.coalesce(t, F.lit("")) for t in texts]
+    kept = drop[:2] + FIELD_SEPARATOR + drop[2:]  # the class of what is dropped, without the joining character
+    joined = F.split(clean(F.concat_ws(FIELD_SEPARATOR, *full), kept), FIELD_SEPARATOR, -1)
+    # a filter of one element, so that Spark makes it once
+    whole = F.filter(F.array(joined), lambda parts: F.size(parts) == len(full))
+    return F.coalesce(F.get(whole, F.lit(0)), F.array(*[clean(t, drop) for t in full]))
 
 
 def pad(c: Column, width: int, side: str, fill: str = " ") -> Column:
@@ -32,12 +52,12 @@ def clean_pad(
     width: int,
     side: str = "right",
     fill: str = " ",
-    drop: str = PLAIN_TEXT,
+    drop: str | None = PLAIN_TEXT,
     trim: str = "left",
     null_text: str | None = "",
 ) -> Column:
-    """Clean, trim, replace null by ``null_text`` (None keeps null), then pad and truncate."""
-    text = clean(c, drop)
+    """Clean (unless ``drop`` is None), trim, replace null by ``null_text`` (None keeps null), then pad and truncate."""
+    text = c if drop is None else clean(c, drop)
     if trim == "left":
         text = F.ltrim(text)
     elif trim == "both":
@@ -47,12 +67,15 @@ def clean_pad(
     return pad(text, width, side, fill)
 
 
-def default_if_blank(c: Column, default: str, blank_too: bool = True, trim_first: bool = False) -> Column:
+def default_if_blank(
+    c: Column, default: str, blank_too: bool = True, trim_first: bool = False, cleaned: Column | None = None
+) -> Column:
     """``default`` for null (and, if asked, for ''), otherwise the cleaned text, unpadded.
 
-    ``trim_first`` trims before cleaning, so a blank uncovered by cleaning stays.
+    ``trim_first`` trims before cleaning, so a blank uncovered by cleaning stays. ``cleaned`` is the text
+    already cleaned.
     """
-    text = clean(F.ltrim(c)) if trim_first else F.ltrim(clean(c))
+    text = clean(F.ltrim(c)) if trim_first else F.ltrim(clean(c) if cleaned is None else cleaned)
     missing = c.isNull() | (c == "") if blank_too else c.isNull()
     return F.when(missing, F.lit(default)).otherwise(text)
 
@@ -119,10 +142,10 @@ def is_filled(c: Column) -> Column:
     return F.trim(c) != ""
 
 
-def product_code(compound: Column, ndc: Column, width: int) -> Column:
+def product_code(compound: Column, ndc: Column, width: int, drop: str | None = PLAIN_TEXT) -> Column:
     """The product code of a non-compound drug (compound code null or ''), else spaces."""
     plain = compound.isNull() | (compound == "")
-    return F.when(plain & ndc.isNotNull(), clean_pad(ndc, width, null_text=None)).otherwise(filler(width))
+    return F.when(plain & ndc.isNotNull(), clean_pad(ndc, width, drop=drop, null_text=None)).otherwise(filler(width))
 
 
 def product_code_kind(code: Column) -> Column:

@@ -82,22 +82,46 @@ def _name_key(c: Column) -> Column:
     return F.sha2(c, 256)
 
 
+# Characters of the pieces by which texts and terms meet.
+GRAM = 3
+
+
+def _pieces(c: Column, size: int) -> Column:
+    """All distinct pieces of ``size`` characters, in one pass over the text however long it is."""
+    return F.array_distinct(F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)))
+
+
+def _by_piece(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(key, piece) of the texts, for the wanted pieces only."""
+    pieces = texts.select("key", F.explode(_pieces(F.col("text"), size)).alias("piece"))
+    return pieces.join(wanted, "piece", "left_semi")
+
+
 def keys_with_terms(df: DataFrame, column: str, terms: DataFrame, term_column: str) -> DataFrame:
     """The keys (as ``key``, once each) of the texts that contain any listed term, without a cross join.
 
-    Every distinct text is cut into its distinct substrings of exactly the lengths that occur
-    among the terms; a substring equal to a term is a match. The substrings travel
-    with a key of fixed size, never with the text.
+    An inverted index on pieces of ``GRAM`` characters: each term is looked up under the one of its pieces that
+    the fewest texts hold, and the texts found there are checked for the whole term. The work does not depend on how many
+    lengths the terms have. Terms shorter than a piece are pieces themselves. Pieces travel with a key of fixed
+    size; a text travels once, to be checked.
     """
     listed = _listed(terms, term_column)
-    lengths = listed.agg(F.collect_set(F.length("term"))).scalar()
     texts = df.select(F.col(column).alias("text")).filter(F.col("text") != "").distinct()
-    sized = texts.withColumn("key", _name_key(F.col("text"))).withColumn("size", F.explode(lengths))
-    sized = sized.filter(F.col("size") <= F.length("text"))
-    starts = F.sequence(F.lit(1), F.length("text") - F.col("size") + 1)
-    cut = F.transform(starts, lambda at: F.substring(F.col("text"), at, F.col("size")))
-    parts = sized.select("key", F.explode(F.array_distinct(cut)).alias("part"))
-    return parts.join(listed, parts.part == listed.term, "left_semi").select("key").distinct()
+    texts = texts.withColumn("key", _name_key(F.col("text")))
+
+    long = listed.filter(F.length("term") >= GRAM)
+    index = long.select("term", F.explode(_pieces(F.col("term"), GRAM)).alias("piece"))
+    held = _by_piece(texts, index.select("piece").distinct(), GRAM)
+    # a term with a piece that no text holds is in no text
+    counts = index.join(held.groupBy("piece").count(), "piece", "left")
+    rarest = counts.groupBy("term").agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "piece")).alias("least"))
+    rarest = rarest.filter("least.n > 0").select("term", "least.piece")
+    candidates = held.join(rarest, "piece").select("key", "term")
+    found = texts.join(candidates, "key").filter(F.contains("text", "term")).select("key")
+    for size in range(1, GRAM):
+        short = listed.filter(F.length("term") == size).select(F.col("term").alias("piece"))
+        found = found.unionByName(_by_piece(texts, short, size).select("key"))
+    return found.distinct()
 
 
 def flag_terms(df: DataFrame, column: str, terms: DataFrame, term_column: str, name: str) -> DataFrame:

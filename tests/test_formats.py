@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from feedweave.functions import dates, numbers, text
+from feedweave.functions import dates, fixed_values, numbers, text
 
 
 def one(spark, value, build):
@@ -100,3 +100,18 @@ def test_times(spark):
     assert one(spark, "10:11:12", lambda c: dates.format_time(c, "HH:mm:ss", 8)) == "10:11:12"
     assert one(spark, "2024-01-05", lambda c: dates.format_time(c, "yyyyMMdd", 8)) == "20240105"
     assert one(spark, "soon", lambda c: dates.format_time(c, "yyyyMMdd", 8)) == " " * 8
+
+
+def test_texts_cleaned_together_equal_texts_cleaned_one_by_one(spark):
+    rows = [(" a#b", None, "x/y"), ("", "é", "-"), ("p\u0001q#", "\u0001", ""), (None, None, None), ("\u0001", "", "\u0001\u0001"), ("A..z", "0 9", "日本")]
+    df = spark.createDataFrame(rows, "a string, b string, c string")
+    columns = [F.col(c) for c in df.columns]
+    single = F.array(*[F.coalesce(text.clean(c), F.lit("")) for c in columns])
+    for row in df.select(text.cleaned_together(columns).alias("both"), single.alias("single")).collect():
+        assert row.both == row.single
+
+
+def test_listed_class_means_the_same(spark):
+    every = "".join(map(chr, range(1, 300)))
+    for drop in (fixed_values.PLAIN_TEXT, fixed_values.ALNUM_ONLY):
+        assert one(spark, every, lambda c: text.clean(c, drop)) == one(spark, every, lambda c: F.regexp_replace(c, drop, ""))
