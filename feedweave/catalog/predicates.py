@@ -8,6 +8,8 @@ from ..functions.dates import compact_date_window
 from ..functions.text import is_filled
 from ..operators import filters, lookups
 from ..plans import purchase_feed
+from ..session import scratch_path
+from ..sources import staging
 from . import shapes
 from .registry import Tables, query
 from .shapes import CODES, NAME_PART
@@ -23,11 +25,33 @@ RUN_DATE = dt.date(1996, 6, 2)
 def window_two_day(t: Tables):
     """The feed's own window, on raw text."""
     cfg = purchase_feed.Settings.for_run(RUN_DATE)
-    text = t.orders.selectExpr("o_orderkey", "o_orderdate", "date_format(o_orderdate, 'yyyyMMdd') AS day")
-    rows = text.filter(compact_date_window(F.col("day"), cfg.first_day, cfg.last_day))
+    rows = order_days(t).filter(compact_date_window(F.col("day"), cfg.first_day, cfg.last_day))
     return rows.select("o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate"))
 
 
+def order_days(t: Tables):
+    return t.orders.selectExpr("o_orderkey", "o_orderdate", "date_format(o_orderdate, 'yyyyMMdd') AS day")
+
+
+@query(
+    "window_staged",
+    "SELECT 'day' AS part, o_orderkey, strftime(o_orderdate, '%Y%m%d') AS day FROM orders "
+    "WHERE o_orderkey % 5 > 0 AND cast(o_orderdate AS DATE) BETWEEN DATE '1996-06-01' AND DATE '1996-06-02' "
+    "UNION ALL SELECT 'no day', o_orderkey, CASE o_orderkey % 10 WHEN 0 THEN strftime(o_orderdate, '%Y%m') || '99' END FROM orders "
+    "WHERE o_orderkey % 5 = 0",
+)
+def window_staged(t: Tables):
+    """The window over a table staged by day in two writes; texts that are no day are kept apart."""
+    cfg, path = purchase_feed.Settings.for_run(RUN_DATE), scratch_path(t.spark, "staged")
+    broken = "CASE o_orderkey % 10 WHEN 0 THEN date_format(o_orderdate, 'yyyyMM') || '99' END"
+    rows = order_days(t).selectExpr("o_orderkey", f"CASE WHEN o_orderkey % 5 = 0 THEN {broken} ELSE day END AS day")
+    staging.stage_by_day(rows.filter("day IS NULL OR day < '19960602' OR day LIKE '%99'"), path, "day")
+    staging.stage_by_day(rows.filter("day >= '19960602' AND day NOT LIKE '%99'"), path, "day")
+    window = staging.read_days(t.spark, path, rows.schema, cfg.first_day, cfg.last_day)
+    others = t.spark.read.schema(rows.schema).parquet(f"{path}/{staging.DAY}={staging.NO_DAY}")
+    return window.selectExpr("'day' AS part", "*").unionByName(others.selectExpr("'no day' AS part", "*"))
+
+
 IN_WINDOW = (
     "FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey % 17 <> 0 AND l_orderkey % 23 <> 0 "
     "AND cast(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"

@@ -12,6 +12,7 @@ from feedweave.functions.dates import compact_date_window
 from feedweave.operators.lookups import exclude_if_in, flag_if_in
 from feedweave.operators.totals import total_per_group
 from feedweave.plans import purchase_feed
+from feedweave.sources import staging
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -158,3 +159,33 @@ def test_terms_of_many_lengths_in_a_long_text(spark):
     keys = {r.key for r in found.collect()}
     expected = texts.filter("t IS NOT NULL AND (t LIKE '%needlexyz%' OR t LIKE '%é%' OR t LIKE '%t n%')")
     assert keys == {r.key for r in expected.select(F.sha2("t", 256).alias("key")).collect()} and len(keys) == 3
+
+
+def test_a_window_opens_only_the_files_of_its_days(spark, tmp_path):
+    """Of all staged days a two-day window lists two folders; a hot day is dealt over several tasks."""
+    t, path = Tables(spark, FOLDER), str(tmp_path / "staged")
+    days = t.orders.selectExpr("o_orderkey", "date_format(o_orderdate, 'yyyyMMdd') AS day")
+    staging.stage_by_day(days, path, "day")
+    cfg = purchase_feed.Settings.for_run(dt.date(1996, 6, 2))
+    rows = staging.read_days(spark, path, days.schema, cfg.first_day, cfg.last_day)
+    text = plan(rows)
+    assert re.search(r"PartitionFilters: \[.*__day#\d+ >= d19960601.*__day#\d+ <= d19960602", text)
+    scan = rows._jdf.queryExecution().sparkPlan().collectLeaves().head()
+    chosen = scan.selectedPartitions().toPartitionArray()
+    files = [chosen[k].filePath().toString() for k in range(len(chosen))]
+    assert {re.search(r"__day=d(\d+)", f)[1] for f in files} <= {"19960601", "19960602"}
+    all_days = days.filter(compact_date_window(F.col("day"), cfg.first_day, cfg.last_day))
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, all_days.collect()))
+    # only the days that occur are replaced
+    staging.stage_by_day(spark.createDataFrame([(-1, "19960601")], days.schema), path, "day")
+    assert [r.o_orderkey for r in staging.read_days(spark, path, days.schema, cfg.first_day, cfg.first_day).collect()] == [-1]
+    assert staging.read_days(spark, path, days.schema, dt.date(1992, 1, 1), dt.date(1992, 12, 31)).count() == days.filter("day LIKE '1992%'").count()
+
+
+def test_a_hot_day_is_staged_by_several_tasks(spark, tmp_path):
+    path = tmp_path / "staged"
+    rows = spark.range(0, 200000, 1, 8).selectExpr("id", "sha2(cast(id AS string), 256) AS rest", "CASE WHEN id % 3 > 0 THEN '20240101' ELSE '20240102' END AS day")
+    with small_partitions(spark):
+        staging.stage_by_day(rows, str(path), "day")
+    assert len(list((path / "__day=d20240101").glob("*.parquet"))) > 1
+    assert spark.read.parquet(str(path)).count() == 200000
