@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import join_on_struct
@@ -17,7 +17,7 @@ def sum_by(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFra
 
 
 def total_per_group(
-    df: DataFrame, keys: Sequence[str], value: str, name: str, drop: Iterable[str] = ()
+    df: DataFrame, keys: Sequence[str], value: str, name: str, drop: Iterable[str] = (), within: Sequence[str] = ()
 ) -> DataFrame:
     """Give each distinct detail row the sum of ``value`` over its keys.
 
@@ -25,12 +25,18 @@ def total_per_group(
     The detail is collapsed first (map-side combine), the group totals are taken
     from the collapsed rows, and the two are joined on the keys. A window would
     put a whole hot group into one task; here adaptive execution may split it.
+
+    ``within`` names columns by which the rows are dealt already and which the keys decide: groups then lie whole
+    in one task each, without a shuffle, and a window over the collapsed rows of a group gives its total.
     """
     gone = {value, *drop}
     kept = [c for c in df.columns if c not in gone]
     collapsed = df.groupBy(*kept).agg(F.sum(value).alias("__part"))
     if set(kept) == set(keys):
         return collapsed.withColumnRenamed("__part", name)
+    if within:
+        group = Window.partitionBy(*dict.fromkeys([*within, *keys]))
+        return collapsed.withColumn(name, F.sum("__part").over(group)).drop("__part")
     totals = collapsed.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.sum("__part").alias(name))
     joined = join_on_struct(collapsed, totals, {k: f"__{k}" for k in keys})
     # always true; because it names the partial sum, both inputs of the join collapse the same

@@ -10,6 +10,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +66,9 @@ class Settings:
 # the part of a run's folder that holds the feed, and the name it is published under
 FEED = "feed"
 SALE_KEYS = ("RFN", "STORE_NBR", "SALES_TXN_DT")
+SLICE = "__slice"
+# Joins on a staged table need no shuffle if the columns it is dealt by are among the keys; set by sessions that read one.
+CO_LOCATED = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
 LINE_KEYS = ("RFN", "UPC_NBR", "SALES_TXN_DT", "LINE_ITEM_SEQ_NBR", "STORE_NBR")
 PRICE_KEYS = ("RFN", "UPC_NBR", "SALES_TXN_DT", "PRICE", "STORE_NBR")
 
@@ -86,30 +91,58 @@ def sales_in_window(sales: DataFrame, cfg: Settings) -> DataFrame:
             to_integer(F.col("UNIT_QTY")).alias("UNIT_QTY"),
             F.col("ITEM_UNIT_PRICE_DLRS").try_cast(MONEY).alias("PRICE"),
             F.col("loyalty_id").alias("LOYALTY_ID"),
+            *staged_by(sales),
         )
     )
 
 
+def staged_by(sales: DataFrame) -> list[str]:
+    """The column that says by what a staged table is dealt besides the transaction; nothing for any other table."""
+    return [SLICE] if SLICE in sales.columns else []
+
+
+def stage_sales(sales: DataFrame, table: str, path: str, buckets: int, hot_rows: int = 1_000_000, slices: int = 256) -> DataFrame:
+    """Write the sales as a table bucketed by transaction, whose lines and headers then meet without a shuffle.
+
+    A transaction of more than ``hot_rows`` rows is dealt over up to ``slices`` buckets by item, and its headers are repeated
+    in each of them. Lines of one line key, and of one item and price, have one item and so lie together. The
+    session that reads the table must allow co-location by part of the keys (``CO_LOCATED``), else Spark shuffles it as
+    any other. Rows stay as they are, but for the repeated headers, which count once in the feed.
+    """
+    hot = sales.groupBy("RFN").count().filter(F.col("count") > hot_rows)
+    marked = lookups.flag_if_in(sales, hot, {"RFN": "RFN"}, "__hot", yes=True, no=False)
+    by_item = F.pmod(F.xxhash64(to_integer(F.col("UPC_NBR"), "long")), F.lit(slices)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(slices - 1))
+    header = F.col("RECORDTYP") == fixed.HEADER_RECORD
+    places = F.when(F.col("__hot") & header, every).when(F.col("__hot"), F.array(by_item)).otherwise(F.array(F.lit(0)))
+    dealt = marked.withColumn(SLICE, F.explode(places)).drop("__hot").repartition(buckets, "RFN", SLICE)
+    dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, "RFN", SLICE).sortBy("RFN", SLICE).saveAsTable(table)
+    return sales.sparkSession.table(table)
+
+
 def loyalty_lines(sales: DataFrame) -> DataFrame:
     """Item lines with the loyalty id of their transaction's header.
 
     Repeated headers count once; a transaction with several loyalty ids repeats its lines,
     which :func:`item_totals` reduces to one per line key.
     """
-    kinds = F.col("RECORDTYP")
+    kinds, keys = F.col("RECORDTYP"), [*SALE_KEYS, *staged_by(sales)]
     headers = sales.filter((kinds == fixed.HEADER_RECORD) & is_filled(F.col("LOYALTY_ID"))).select(
-        *SALE_KEYS, "LOYALTY_ID"
+        *keys, "LOYALTY_ID"
     ).distinct()
     lines = sales.filter((kinds == fixed.LINE_RECORD) & (F.col("UNIT_QTY") >= 0))
     lines = filters.complete_rows(
         lines.drop("LOYALTY_ID", "RECORDTYP"),
         ["SALES_TXN_DT", "PRICE", "RFN", "UNIT_QTY", "UPC_NBR", "ARTICLE_NBR", "LINE_ITEM_SEQ_NBR"],
     )
-    named = headers.select(*[F.col(k).alias(f"__{k}") for k in SALE_KEYS], "LOYALTY_ID")
+    named = headers.select(*[F.col(k).alias(f"__{k}") for k in keys], "LOYALTY_ID")
     # keys of a header are never null here: a null one would meet its like in the struct
-    named = named.na.drop(subset=[f"__{k}" for k in SALE_KEYS])
-    joined = join_on_struct(lines, named, {k: f"__{k}" for k in SALE_KEYS})
-    return joined.drop(*[f"__{k}" for k in SALE_KEYS])
+    named = named.na.drop(subset=[f"__{k}" for k in keys])
+    if staged_by(sales):
+        joined = lines.join(named, reduce(and_, [F.col(k) == F.col(f"__{k}") for k in keys]))
+    else:
+        joined = join_on_struct(lines, named, {k: f"__{k}" for k in keys})
+    return joined.drop(*[f"__{k}" for k in keys])
 
 
 def mapped_stores(lines: DataFrame, store_map: DataFrame, stores: DataFrame, cfg: Settings) -> DataFrame:
@@ -135,8 +168,10 @@ def mapped_stores(lines: DataFrame, store_map: DataFrame, stores: DataFrame, cfg
 
 def item_totals(lines: DataFrame) -> DataFrame:
     """One row per line key, then the quantity per item, price and store."""
-    single = dedupe_keys(lines, LINE_KEYS, ["PRICE", "UNIT_QTY", "ARTICLE_NBR", "LOYALTY_ID"])
-    return total_per_group(single, PRICE_KEYS, "UNIT_QTY", "QTY", drop=["LINE_ITEM_SEQ_NBR"])
+    within = ["RFN", *staged_by(lines)] if staged_by(lines) else []
+    single = dedupe_keys(lines, [*LINE_KEYS, *staged_by(lines)], ["PRICE", "UNIT_QTY", "ARTICLE_NBR", "LOYALTY_ID"])
+    totals = total_per_group(single, PRICE_KEYS, "UNIT_QTY", "QTY", drop=["LINE_ITEM_SEQ_NBR"], within=within)
+    return totals.drop(SLICE)
 
 
 def online_ids(identity: DataFrame) -> DataFrame:

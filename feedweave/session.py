@@ -17,6 +17,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
 }
 
 

@@ -189,3 +189,39 @@ def test_a_hot_day_is_staged_by_several_tasks(spark, tmp_path):
         staging.stage_by_day(rows, str(path), "day")
     assert len(list((path / "__day=d20240101").glob("*.parquet"))) > 1
     assert spark.read.parquet(str(path)).count() == 200000
+
+
+def test_staged_sales_meet_without_a_shuffle(spark, tmp_path):
+    """Header join, line keys and item totals over a staged table: no exchange, also with a hot transaction, whose rows are spread."""
+    t = Tables(spark, FOLDER)
+    hot = "CASE WHEN l_orderkey % 3 > 0 THEN 'hot' ELSE cast(l_orderkey AS string) END"
+    made = t.lineitem.selectExpr(
+        "1100 AS RECORDTYP", f"{hot} AS RFN", "'19960101' AS SALES_TXN_DT", "cast(l_suppkey AS string) AS STORE_NBR",
+        "cast(l_partkey AS string) AS UPC_NBR", "cast(l_partkey AS string) AS ARTICLE_NBR", "cast(l_linenumber AS string) AS LINE_ITEM_SEQ_NBR",
+        "cast(l_quantity AS string) AS UNIT_QTY", "cast(l_extendedprice AS double) AS ITEM_UNIT_PRICE_DLRS", "cast(NULL AS string) AS loyalty_id",
+    )
+    head = made.select("RFN", "STORE_NBR").distinct().selectExpr(
+        "1000 AS RECORDTYP", "RFN", "'19960101' AS SALES_TXN_DT", "STORE_NBR", "cast(NULL AS string) AS UPC_NBR", "cast(NULL AS string) AS ARTICLE_NBR",
+        "cast(NULL AS string) AS LINE_ITEM_SEQ_NBR", "cast(NULL AS string) AS UNIT_QTY", "cast(NULL AS double) AS ITEM_UNIT_PRICE_DLRS", "concat('L', RFN) AS loyalty_id",
+    )
+    sales = made.unionByName(head)
+    cfg = purchase_feed.Settings(dt.date(1996, 1, 1), dt.date(1996, 12, 31))
+    totals = lambda s: purchase_feed.item_totals(purchase_feed.loyalty_lines(purchase_feed.sales_in_window(s, cfg)))
+    expected = sorted(map(tuple, totals(sales).select(*(columns := totals(sales).columns)).collect()))
+    kept = {k: spark.conf.get(k) for k in purchase_feed.CO_LOCATED}
+    try:
+        for k, v in purchase_feed.CO_LOCATED.items():
+            spark.conf.set(k, v)
+        staged = purchase_feed.stage_sales(sales, "staged_sales_test", str(tmp_path / "sales"), buckets=16, hot_rows=500, slices=64)
+        with small_partitions(spark):
+            found = totals(staged)
+            assert "Exchange" not in plan(found) and "SortMergeJoin" in plan(found)
+            assert sorted(map(tuple, found.select(*columns).collect())) == expected and len(expected) > 1000
+        hot_rows = staged.filter("RFN = 'hot' AND RECORDTYP = 1100")
+        sizes = [r["count"] for r in hot_rows.groupBy(F.regexp_extract("_metadata.file_name", "_([0-9]+)[.]", 1)).count().collect()]
+        assert len(sizes) >= 12 and max(sizes) < sum(sizes) / 4
+        assert staged.filter("RECORDTYP = 1100").count() == made.count()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+        spark.sql("DROP TABLE IF EXISTS staged_sales_test")
