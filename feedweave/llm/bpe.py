@@ -291,6 +291,10 @@ def decode(docs: DataFrame, ranks_path: str, tokens: str = "tokens", out: str =
     return rest.mapInArrow(join, StructType([*rest.schema.fields]).add(out, BinaryType(), False))
 
 
+def _sha256(data: bytes) -> str:
+    return hashlib.sha256(data).hexdigest()
+
+
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", with_tokens: bool = True) -> DataFrame:
     """Encode every whole text, decode the ids again, and replace the text by the digests of both.
 
@@ -305,10 +309,11 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = load_ranks(ranks_path)
-        decimal = [str(k) for k in range(len(ranks.tokens))]
+        decimal = np.array([str(k) for k in range(len(ranks.tokens))], object)
         for batch, tokens in _encoded(batches, len(others), ranks_path, pattern):
-            ids = [" ".join([decimal[t] for t in row]) for row in tokens.to_pylist()]
-            columns = [pa.array([hashlib.sha256(x).hexdigest() for x in found]) for found in (map(str.encode, ids), _decoded(tokens, ranks))]
+            flat, ends = tokens.flatten().to_numpy(), np.cumsum(tokens.value_lengths().to_numpy()).tolist()
+            ids = [_sha256(" ".join(decimal[flat[a:b]].tolist()).encode()) for a, b in zip([0, *ends], ends)]
+            columns = [pa.array(ids, pa.string()), pa.array(list(map(_sha256, _decoded(tokens, ranks))), pa.string())]
             columns = [tokens] * with_tokens + [tokens.value_lengths().cast(pa.int64()), *columns]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], *columns], names=[*others, *added])
 
