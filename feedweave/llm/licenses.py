@@ -168,6 +168,11 @@ KEYS = frozenset(
     "sharealike noncommercial noderivatives eclipse boost artistic".split()
 )
 LEAST_COVER = 0.9  # share of a template's words that must be there in order
+# The same for windows compressed plainly and with a template, so that sizes differ by the template alone.
+SIZES = zstandard.ZstdCompressionParameters(
+    window_log=17, chain_log=12, hash_log=12, search_log=4, min_match=3, target_length=48, strategy=zstandard.STRATEGY_BTOPT,
+    write_content_size=False, write_checksum=False, write_dict_id=False,
+)
 _WORD = re.compile(r"[^\W\d_]+|\d+(?:\.\d+)*")
 
 _SPDX = re.compile(r"SPDX-License-Identifier:", re.IGNORECASE)
@@ -191,18 +196,23 @@ class Template:
         by_length = sorted((w for w in must or self.distinct if not w[0].isdigit()), key=lambda w: (-len(w), w))
         self.seeds = by_length[: 1 if must else self.may_miss + 1]
         whole = zstandard.ZstdCompressionDict(" ".join(self.words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        self.squeeze = zstandard.ZstdCompressor(level=3, dict_data=whole)
+        self.squeeze = zstandard.ZstdCompressor(compression_params=SIZES, dict_data=whole)
+
+
+class Seed:
+    """The templates that hold a seed word, with its places in them, and how far a window around it reaches."""
+
+    def __init__(self, word: str, known: list[Template]):
+        self.places = [(k, [j for j, w in enumerate(t.words) if w == word]) for k, t in enumerate(known) if word in t.seeds]
+        self.before = max(max(at) + known[k].room for k, at in self.places)
+        self.after = max(len(known[k].words) - min(at) + known[k].room for k, at in self.places)
 
 
 @lru_cache(maxsize=4)
-def _templates(texts: tuple) -> tuple[list[Template], dict[str, list[tuple[int, list[int]]]]]:
-    """The templates, and for each seed word its templates with the places where they hold it."""
+def _templates(texts: tuple) -> tuple[list[Template], dict[str, Seed]]:
+    """The templates and their seed words."""
     known = [Template(name, text) for name, text in texts]
-    seeds: dict[str, list[tuple[int, list[int]]]] = {}
-    for k, t in enumerate(known):
-        for seed in t.seeds:
-            seeds.setdefault(seed, []).append((k, [j for j, w in enumerate(t.words) if w == seed]))
-    return known, seeds
+    return known, {word: Seed(word, known) for word in {w for t in known for w in t.seeds}}
 
 
 def seed_pattern(templates: tuple = TEMPLATES) -> str:
@@ -307,45 +317,61 @@ def identifiers(text: str) -> Iterator[tuple[str, int, int]]:
             after = word.upper() if operator else word
 
 
+def _ranked(words: list[str], templates: tuple) -> list[tuple[int, int, int]]:
+    """(reduction, template, seed place) of every candidate window with each template that shares its seed, best first.
+
+    The reduction is the size of the window compressed plainly less its size with the template as
+    raw dictionary. Windows without a reduction come last, in the order of the templates. Equal windows are compressed once.
+    """
+    known, seeds = _templates(templates)
+    plain = zstandard.ZstdCompressor(compression_params=SIZES)
+    sizes: dict[tuple[str, bytes], list[int]] = {}
+    ranked = []
+    for i, word in enumerate(words):
+        seed = seeds.get(word)
+        if seed is None:
+            continue
+        data = " ".join(words[max(0, i - seed.before) : i + seed.after]).encode()
+        saved = sizes.get((word, data))
+        if saved is None:
+            whole = len(plain.compress(data))
+            saved = sizes[word, data] = [whole - len(known[k].squeeze.compress(data)) for k, _ in seed.places]
+        ranked += [(gain, k, i) for gain, (k, _) in zip(saved, seed.places)]
+    return sorted(ranked, key=lambda r: (-max(r[0], 0), r[1], r[2]))
+
+
 def scan(text: str, templates: tuple = TEMPLATES) -> list[tuple[str, int, int, int, int, int]]:
     """(license, start, end, bytes saved, missing words, added words) of every notice in the whole text.
 
     SPDX identifiers save, miss and add nothing.
     """
     known, seeds = _templates(templates)
-    plain = zstandard.ZstdCompressor(level=3)
     found = [(*hit, 0, 0, 0) for hit in identifiers(text)]
     spans = [m.span() for m in _WORD.finditer(text)]
     words = [text[x:y].lower() for x, y in spans]
-    hits, through = [], {}
-    for i, word in enumerate(words):
-        for k, places in seeds.get(word, ()):
-            if i < through.get(k, 0):
-                continue
-            tried = [p for p in (_confirm(known[k], words, i, j) for j in places) if p]
-            if tried:
-                first, last, missing, added = min(tried, key=lambda p: (p[2] + p[3], p[0]))
-                through[k] = last
-                data = " ".join(words[first:last]).encode()
-                gain = len(plain.compress(data)) - len(known[k].squeeze.compress(data))
-                hits.append((missing - len(known[k].words), missing + added, -gain, k, first, last, missing, added))
+    places = {(word, k): at for word, seed in seeds.items() for k, at in seed.places}
     taken = bytearray(len(words))
-    for _, _, gain, k, first, last, missing, added in sorted(hits):
-        if not any(taken[first:last]):
-            taken[first:last] = b"\1" * (last - first)
-            found.append((known[k].name, spans[first][0], spans[last - 1][1], -gain, missing, added))
+    for gain, k, i in _ranked(words, templates):
+        if taken[i]:
+            continue
+        tried = [p for p in (_confirm(known[k], words, i, j) for j in places[words[i], k]) if p]
+        if tried:
+            first, last, missing, added = min(tried, key=lambda p: (p[2] + p[3], p[0]))
+            if not any(taken[first:last]):
+                taken[first:last] = b"\1" * (last - first)
+                found.append((known[k].name, spans[first][0], spans[last - 1][1], gain, missing, added))
     return sorted(found, key=lambda f: f[1:3])
 
 
 def license_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text", templates: tuple = TEMPLATES) -> DataFrame:
     """One row per license notice: id, ``license``, ``start``, ``end`` (code points), ``gain``, ``missing``, ``added``.
 
-    Every template is looked for on words, wherever a text holds one of its seed words, over as many words
-    before and after as the template has and as many added ones; lines do not matter. There must be at least 90 % of
-    its words in order, and no difference in names, numbers or other key words. Of notices that
-    overlap the one with the most words of its template stays, then the closest, then the one that saves most:
-    ``gain`` is the size of the notice compressed plainly less its size with the template as raw
-    zstandard dictionary. It only ranks; for short notices it is about zero and may be negative.
+    Candidates are windows of words around every seed word of a template, as long as the longest template that has it;
+    lines do not matter. Every window is compressed plainly and with each of these templates as raw zstandard
+    dictionary, and all pairs are ranked by the bytes saved, ``gain``. Down this ranking a pair is confirmed on words: at
+    least 90 % of the template's words in order, at most as many added ones, and no difference in names, numbers or
+    other key words. What overlaps a notice confirmed before is left out, so of templates that fit the same words the one
+    that saves most stays. A gain of zero or below ranks last and excludes nothing.
     The licenses of SPDX-License-Identifier lines are reported as written, whatever the templates.
     Null and empty texts give no rows, repeated rows repeat theirs; other columns are dropped.
     """

@@ -187,3 +187,41 @@ def test_identifiers(spark, line, names):
     assert all(line[f[1] : f[2]] == f[0] for f in found)
     docs = spark.createDataFrame([(1, line)], "doc_id long, text string")
     assert licenses.with_licenses(docs).first()["n_notices"] == len(names)
+
+
+class SameSize:
+    """A compressor for which nothing saves anything."""
+
+    def compress(self, data):
+        return data
+
+
+def test_the_ranking_decides(monkeypatch):
+    """Several templates fit the same words: the compressed sizes choose, and without them another one is reported."""
+    short, long = [t for n, t in licenses.TEMPLATES if n == "Apache-2.0"][:2]
+    text = f"Some words before. {long} Some words after."
+    ((name, start, end, gain, *_),) = licenses.scan(text)
+    assert (name, text[start:end]) == ("Apache-2.0", long) and gain > 0
+    known, _ = licenses._templates(licenses.TEMPLATES)
+    for t in known:
+        monkeypatch.setattr(t, "squeeze", SameSize())
+    monkeypatch.setattr(licenses.zstandard, "ZstdCompressor", lambda **_: SameSize())
+    ((name, start, end, gain, *_),) = licenses.scan(text)
+    assert (text[start:end], gain) == (short.strip("."), 0)
+
+
+def test_every_window_meets_every_template_of_its_seed():
+    words = "the free text licensed under cc by 4.0 and under the mit license".split()
+    known, seeds = licenses._templates(licenses.TEMPLATES)
+    ranked = licenses._ranked(words, licenses.TEMPLATES)
+    assert {(k, i) for _, k, i in ranked} == {(k, i) for i, w in enumerate(words) if w in seeds for k, _ in seeds[w].places}
+    assert [max(g, 0) for g, _, _ in ranked] == sorted((max(g, 0) for g, _, _ in ranked), reverse=True)
+
+
+def test_seed_words_without_a_notice_end_soon():
+    import time
+
+    start = time.time()
+    assert licenses.scan("gnu creative commons " * 20_000) == []
+    assert licenses.scan(" ".join(f"gnu{'x' * (k % 7)} word{chr(97 + k % 26)} mit" for k in range(5_000))) == []
+    assert time.time() - start < 30
