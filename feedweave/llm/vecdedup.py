@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from feedweave.llm.common import connected_components, materialise, small_batches
 
 LEADING = 8  # principal dimensions that are gridded
+BOUNDS = LEADING + 1  # and the norm of what they leave
 PCA_ROWS = 2048  # vectors the directions are fitted on; they decide speed, not results
 BLOCK_BYTES = 1 << 21  # vectors of one sequence interval, as doubles
 FANOUT = 16  # intervals joined to one on the next level
 LEAF = 256  # rows compared without another split
 SLACK = 1e-9  # rounding room when something is skipped as distant
+CHUNK = 4096  # partitions of the sequence numbered together
 
 
 def usable(vector: Column) -> Column:
@@ -47,12 +49,19 @@ def _directions(vectors: DataFrame) -> dict[int, np.ndarray]:
 
 
 def _project(u: np.ndarray, directions: dict[int, np.ndarray]) -> np.ndarray:
+    """Leading coordinates of unit vectors and, last, the norm of the rest.
+
+    Two vectors are at least as far apart as their rows here: the rests differ by no less than their norms do.
+    """
     dim = u.shape[1]
     axes = directions.get(dim)
     if axes is None:  # a length the sample has not seen
         axes = np.eye(dim)[:, :LEADING]
-    p = np.zeros((len(u), LEADING))
-    p[:, : axes.shape[1]] = u @ axes
+    p = np.zeros((len(u), BOUNDS))
+    lead = u @ axes
+    p[:, : axes.shape[1]] = lead
+    rest = u - lead @ axes.T  # not from the squares: their difference is not exact enough near zero
+    p[:, LEADING] = np.sqrt((rest * rest).sum(axis=1))
     return p
 
 
@@ -81,7 +90,7 @@ def _sequence_blocks(vectors: DataFrame, eps: float, directions: dict[int, np.nd
             for dim in np.unique(dims).tolist():
                 at = np.flatnonzero(dims == dim)
                 flat = batch.column("v").take(pa.array(at)).flatten().to_numpy()
-                grid[at] = np.floor(_project(_unit(flat, dim), directions) / eps)
+                grid[at] = np.floor(_project(_unit(flat, dim), directions)[:, :LEADING] / eps)
             grids = [pa.array(grid[:, k]) for k in range(LEADING)]
             names = ["node", "v", "m", "dim", *[f"c{k}" for k in range(LEADING)]]
             yield pa.RecordBatch.from_arrays([*batch.select(["node", "v", "m"]).columns, pa.array(dims), *grids], names=names)
@@ -141,6 +150,25 @@ def _sequence_blocks(vectors: DataFrame, eps: float, directions: dict[int, np.nd
     )
 
 
+def _numbered(blocks: DataFrame) -> DataFrame:
+    """Add ``i``, the gapless number from 0 of every block in sequence order, without one task for all blocks.
+
+    Blocks are numbered within their partition already (``block`` holds both), and the partitions are ranges of the
+    sequence. Partitions are summed in chunks, so the one unpartitioned window has a row for each 4096 partitions.
+    """
+    parts = blocks.groupBy(F.shiftright("block", 32).alias("part")).agg(F.count("*").alias("n"))
+    parts = parts.withColumn("chunk", F.expr(f"part DIV {CHUNK}"))
+    earlier = (Window.unboundedPreceding, -1)
+    within = F.sum("n").over(Window.partitionBy("chunk").orderBy("part").rowsBetween(*earlier))
+    chunks = parts.groupBy("chunk").agg(F.sum("n").alias("n"))
+    before = F.sum("n").over(Window.orderBy("chunk").rowsBetween(*earlier))
+    chunks = chunks.select(F.col("chunk").alias("c"), F.coalesce(before, F.lit(0)).alias("before"))
+    starts = parts.withColumn("within", F.coalesce(within, F.lit(0))).join(chunks, F.col("chunk") == F.col("c"))
+    starts = starts.select("part", (F.col("before") + F.col("within")).alias("start"))
+    joined = blocks.join(starts, F.shiftright("block", 32) == F.col("part"))
+    return joined.select(*blocks.columns, (F.col("start") + F.col("block").bitwiseAND((1 << 32) - 1)).alias("i"))
+
+
 def _near_pairs(blocks: DataFrame, eps: float) -> DataFrame:
     """Pairs of blocks (``a`` <= ``b``) whose boxes are no further apart than ``eps``.
 
@@ -148,19 +176,17 @@ def _near_pairs(blocks: DataFrame, eps: float) -> DataFrame:
     after the other, from the whole sequence down: only children of near pairs
     are compared. Every level is a table with one row per interval.
     """
-    low = [F.min(F.col("lo")[k]).alias(f"l{k}") for k in range(LEADING)]
-    high = [F.max(F.col("hi")[k]).alias(f"h{k}") for k in range(LEADING)]
-    box = lambda: [F.array(*[f"l{k}" for k in range(LEADING)]).alias("lo"), F.array(*[f"h{k}" for k in range(LEADING)]).alias("hi")]
-    # blocks are numbered in sequence order; there is one row per MB of vectors
-    numbered = blocks.select("block", "dim", "lo", "hi").withColumn("i", F.row_number().over(Window.orderBy("dim", "block")) - 1)
-    levels = [materialise(numbered.select(F.col("i").cast("long").alias("i"), "dim", "lo", "hi", "block"), "intervals")]
+    low = [F.min(F.col("lo")[k]).alias(f"l{k}") for k in range(BOUNDS)]
+    high = [F.max(F.col("hi")[k]).alias(f"h{k}") for k in range(BOUNDS)]
+    box = lambda: [F.array(*[f"l{k}" for k in range(BOUNDS)]).alias("lo"), F.array(*[f"h{k}" for k in range(BOUNDS)]).alias("hi")]
+    levels = [materialise(_numbered(blocks.select("block", "dim", "lo", "hi")).select("i", "dim", "lo", "hi", "block"), "intervals")]
     count = levels[0].count()
     while count > 1:
         wider = levels[-1].groupBy(F.expr(f"i DIV {FANOUT}").alias("i")).agg(F.min("dim").alias("dim"), *low, *high)
         levels.append(wider.select("i", "dim", *box()))
         count = -(-count // FANOUT)
     gap = F.aggregate(
-        F.sequence(F.lit(0), F.lit(LEADING - 1)),
+        F.sequence(F.lit(0), F.lit(BOUNDS - 1)),
         F.lit(0.0),
         lambda s, k: s + F.pow(F.greatest(F.lit(0.0), F.get("alo", k) - F.get("bhi", k), F.get("blo", k) - F.get("ahi", k)), F.lit(2)),
     )
@@ -187,7 +213,9 @@ class _PairJoin:
         for dim, nodes, ms, vs in (left, right) if not same else (left,):
             ids = np.frombuffer(nodes, np.int64)
             u = _unit(_unpacked(vs, len(ids), dim), dim)
-            self.sides.append((ids, np.frombuffer(ms, np.int64), u, _project(u, directions)))
+            self.sides.append((ids, np.frombuffer(ms, np.int64), u, _project(u, directions), u.astype(np.float32)))
+            # what single precision may lose of a unit vectors' product
+            self.least = threshold - (dim + 8) * 2.0**-22
         self.a, self.b = self.sides[0], self.sides[-1]
         self.counts = [np.zeros(len(s[0]), np.int64) for s in self.sides]
         self.shift = 0 if same else len(self.a[0])
@@ -222,6 +250,10 @@ class _PairJoin:
             self.join(a0, a1, mid, b1)
 
     def leaf(self, a0: int, a1: int, b0: int, b1: int) -> None:
+        # the same products in single precision show that most pairs of leaves have no link
+        if not self.same or a0 != b0:
+            if (self.a[4][a0:a1] @ self.b[4][b0:b1].T).max() < self.least:
+                return
         ua, ub = self.a[2][a0:a1], self.b[2][b0:b1]
         cosine = ua @ ub.T
         linked = cosine >= self.threshold

@@ -79,3 +79,28 @@ def test_dense_group_is_counted_not_listed(spark):
     assert links.count() < 4 * len(rows)
     found = vecdedup.near_duplicates(made(spark, rows))
     assert {(r["n_links"], r["component_id"]) for r in found.collect()} == {(1199, 0)}
+
+
+def test_bounds_are_no_more_than_the_distance():
+    """Leading coordinates and the norm of the rest: never further apart than the vectors, and closer to it with the rest."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for dim in (3, 8, 40):
+        u = vecdedup._unit(rng.normal(size=200 * dim), dim)
+        u[100:] = vecdedup._unit((u[:100] + rng.normal(size=(100, dim)) * 1e-6).ravel(), dim)
+        for axes in ({}, {dim: np.linalg.qr(rng.normal(size=(dim, min(dim, vecdedup.LEADING))))[0]}):
+            p = vecdedup._project(u, axes)
+            apart = np.sqrt(((u[:, None] - u[None]) ** 2).sum(-1))
+            near = np.sqrt(((p[:, None] - p[None]) ** 2).sum(-1))
+            lead = np.sqrt(((p[:, None, :-1] - p[None, :, :-1]) ** 2).sum(-1))
+            assert (near <= apart + 1e-12).all() and (near >= lead).all()
+
+
+def test_numbers_follow_the_sequence(spark, monkeypatch):
+    """Gapless over partitions and chunks of them, empty partitions included."""
+    monkeypatch.setattr(vecdedup, "CHUNK", 4)
+    sizes = {part: part * 7 % 5 for part in range(23)}
+    blocks = [(part << 32 | k,) for part, n in sizes.items() for k in range(n)]
+    found = vecdedup._numbered(spark.createDataFrame(blocks, "block long").repartition(5)).orderBy("block").collect()
+    assert [(r["block"], r["i"]) for r in found] == [(b, i) for i, (b,) in enumerate(blocks)]
