@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from feedweave.llm.common import connected_components, materialise, small_batches
+from feedweave.llm.common import bounded_batches, connected_components, materialise
 
 BYTES = 8
 SEED = 42
+POSTING_ROWS = 1024  # members of a posting list whose shared entries are tallied pair by pair
 
 
 def fingerprint(text: bytes, shingle_words: int) -> int:
@@ -45,7 +46,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", out: str = "fingerprin
     included; a shorter text is one shingle. A null or wordless text has 0. An
     existing column called ``out`` is replaced.
     """
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
 
     @pandas_udf("long")
     def simhash(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -100,47 +101,119 @@ def _linked(members: np.ndarray, free: tuple[int, ...], near: np.ndarray) -> Ite
                 yield int(members[i]), int(members[at[i]])
 
 
-def links(prints: DataFrame, fingerprint: str = "fingerprint", distance: int = 2) -> DataFrame:
-    """Edges ``src``, ``dst`` that connect all fingerprints within ``distance`` bits.
+def _choices(distance: int) -> list[tuple[int, tuple[int, ...]]]:
+    """(mask as signed long, positions left out) for every two of ``distance + 2`` runs of bytes.
 
-    A fingerprint is eight (position, byte) entries. Differing in ``distance``
-    bits spoils at most so many entries, so linked fingerprints share at least
-    ``8 - distance`` of them: the guaranteed minimum. The index is keyed by that
-    many entries at a time (28 keys for two bits), so meeting under one key is
-    the full tally, and no key is shared by more than ``2 ** (8 * distance)``
-    distinct fingerprints. Within a posting list the members differ in the free
-    bytes only; the bit distance is verified there, and only a spanning set of
-    the links leaves the list. Nulls take no part, repeats count once.
+    So many differing bits spoil at most ``distance`` of the runs, so linked
+    fingerprints agree in two at least.
     """
-    if not 0 <= distance <= 3:
-        raise ValueError("distance must be 0 to 3 bits")
-    spark = prints.sparkSession
-    small_batches(spark)
-    distinct = prints.select(F.col(fingerprint).alias("f")).where("f is not null").distinct()
-    if distance == 0:
-        return distinct.where("false").select(F.col("f").alias("src"), F.col("f").alias("dst"))
-    masks = _masks(distance)
-    entries = F.array(*[F.struct(F.lit(k).alias("k"), F.col("f").bitwiseAND(F.lit(m)).alias("shared")) for k, (m, _) in enumerate(masks)])
-    postings = (
-        distinct.select("f", F.explode(entries).alias("e"))
-        .groupBy("e.k", "e.shared")
-        .agg(F.collect_list("f").alias("members"))
-        .where(F.size("members") > 1)
-        .select("k", "members")
-    )
-    near = _near(8 * distance, distance)
+    runs = [tuple(run.tolist()) for run in np.array_split(np.arange(BYTES), distance + 2)]
+    found = []
+    for pair in combinations(runs, 2):
+        agreed = pair[0] + pair[1]
+        mask = sum(0xFF << (8 * p) for p in agreed)
+        found.append((mask - (1 << 64) if mask >= 1 << 63 else mask, tuple(p for p in range(BYTES) if p not in agreed)))
+    return found
+
+
+def _tally(members: np.ndarray, free: tuple[int, ...]) -> np.ndarray:
+    """How many (position, byte) entries each two members share.
+
+    Every member has the entries outside ``free`` in common with all others; the
+    rest is counted through an inverted index from byte to members, position by
+    position.
+    """
+    shared = np.full((len(members), len(members)), BYTES - len(free), np.uint8)
+    for p in free:
+        byte = (members >> np.int64(8 * p)) & 0xFF
+        order = np.argsort(byte, kind="stable")
+        ends = np.flatnonzero(np.diff(byte[order])) + 1
+        for posting in np.split(order, ends):
+            if len(posting) > 1:
+                shared[np.ix_(posting, posting)] += 1
+    return shared
+
+
+def _counted(members: np.ndarray, free: tuple[int, ...], distance: int) -> Iterator[tuple[int, int]]:
+    """Edges that connect all linked members: enough shared entries first, then the bits."""
+    shared = _tally(members, free)
+    np.fill_diagonal(shared, 0)
+    a, b = np.nonzero(shared >= BYTES - distance)
+    near = np.zeros(shared.shape, bool)
+    near[a, b] = np.bitwise_count((members[a] ^ members[b]).view(np.uint64)) <= distance
+    waiting = near.any(axis=1)
+    while waiting.any():
+        reached = [int(waiting.argmax())]
+        waiting[reached[0]] = False
+        for i in reached:
+            fresh = np.flatnonzero(near[i] & waiting).tolist()
+            waiting[fresh] = False
+            reached += fresh
+            for j in fresh:
+                yield int(members[i]), int(members[j])
+
+
+def _edges(postings: DataFrame, linked: Callable[[int, np.ndarray], Iterable[tuple[int, int]]]) -> DataFrame:
+    """The edges that ``linked`` finds in every posting list ``k``, ``members``."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pairs: list[tuple[int, int]] = []
             for k, members in zip(batch.column(0).to_pylist(), batch.column(1)):
-                pairs += _linked(members.values.to_numpy(), masks[k][1], near)
+                pairs += linked(k, members.values.to_numpy())
             both = np.array(pairs, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["src", "dst"])
 
     return postings.mapInArrow(verify, "src long, dst long")
 
 
+def _entries(prints: DataFrame, masks: list[tuple[int, tuple[int, ...]]]) -> DataFrame:
+    """One row ``f``, ``k``, ``shared`` for every fingerprint and mask, over as many tasks as shuffles have.
+
+    The table of fingerprints is small beside its entries, so it is dealt before it is multiplied.
+    """
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = F.array(*[F.struct(F.lit(k).alias("k"), F.col("f").bitwiseAND(F.lit(m)).alias("shared")) for k, (m, _) in enumerate(masks)])
+    return prints.select("f").repartition(parts, "f").distinct().select("f", F.explode(keys).alias("e")).select("f", "e.k", "e.shared")
+
+
+def links(prints: DataFrame, fingerprint: str = "fingerprint", distance: int = 2, posting_rows: int = POSTING_ROWS) -> DataFrame:
+    """Edges ``src``, ``dst`` that connect all fingerprints within ``distance`` bits.
+
+    A fingerprint is eight (position, byte) entries. Differing in ``distance``
+    bits spoils at most so many, so linked fingerprints share at least
+    ``8 - distance`` of them: the guaranteed minimum. They also agree in two of
+    ``distance + 2`` runs of bytes, which key the index (six keys for two bits).
+    In a posting list the shared entries of each two members are tallied; pairs
+    that reach the minimum are verified by their bits, and only a spanning set
+    of the links leaves the list.
+
+    A tally is quadratic, so it is made in lists of ``posting_rows`` members at
+    most. Fingerprints of longer lists are keyed again by every choice of
+    ``8 - distance`` bytes: meeting there is the full count, a key is shared by
+    at most ``2 ** (8 * distance)`` distinct fingerprints, and partners are found by
+    flipping bits. Linked fingerprints that meet in long lists only are both in
+    that set, so nothing is lost. Nulls take no part, repeats count once.
+    """
+    if not 0 <= distance <= 3:
+        raise ValueError("distance must be 0 to 3 bits")
+    spark = prints.sparkSession
+    bounded_batches(spark)
+    known = prints.select(F.col(fingerprint).alias("f")).where("f is not null")
+    if distance == 0:
+        return known.where("false").select(F.col("f").alias("src"), F.col("f").alias("dst"))
+    choices, masks = _choices(distance), _masks(distance)
+    entries = _entries(known, choices)
+    sizes = materialise(entries.groupBy("k", "shared").agg(F.count("*").alias("n")).where("n > 1"), "posting-sizes")
+    met = materialise(entries.join(sizes, ["k", "shared"]), "postings")
+    short = met.where(F.col("n") <= posting_rows).groupBy("k", "shared").agg(F.collect_list("f").alias("members"))
+    tallied = _edges(short.select("k", "members"), lambda k, members: _counted(members, choices[k][1], distance))
+    again = _entries(met.where(F.col("n") > posting_rows), masks).groupBy("k", "shared").agg(F.collect_list("f").alias("members"))
+    near = _near(8 * distance, distance)
+    flipped = _edges(again.where(F.size("members") > 1).select("k", "members"), lambda k, members: _linked(members, masks[k][1], near))
+    return tallied.union(flipped)
+
+
 def _grouped(docs: DataFrame, id_col: str, text: str, shingle_words: int, distance: int) -> DataFrame:
     """One row per document: ``id``, fingerprint ``f``, ``component`` (a fingerprint of the group), ``component_id``."""
     slim = docs.select(F.col(id_col).alias("id"), F.col(text).alias("t"))

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -66,13 +67,14 @@ def test_fingerprint(shingle):
         assert simhash.fingerprint(t.encode(), shingle) == brute_print(t, shingle), t[:50]
 
 
-def test_links_of_dense_prints_lose_nothing(spark):
+@pytest.mark.parametrize("posting_rows", [1, 40, 1024, 1 << 20])
+def test_links_of_dense_prints_lose_nothing(spark, posting_rows):
     """Very many prints that differ in one or two bits, over bytes and within one, form one group."""
     rng = random.Random(1)
     base = rng.getrandbits(64)
     prints = {base ^ (1 << a) ^ (1 << b) for a in range(0, 64, 3) for b in range(64) if a != b} | {rng.getrandbits(64) for _ in range(300)}
     signed = [(p - (1 << 64) if p >= 1 << 63 else p,) for p in prints]
-    edges = simhash.links(spark.createDataFrame(signed, "fingerprint long")).collect()
+    edges = simhash.links(spark.createDataFrame(signed, "fingerprint long"), posting_rows=posting_rows).collect()
     assert all(bin((r["src"] ^ r["dst"]) & (1 << 64) - 1).count("1") <= 2 for r in edges)
     from feedweave.llm.common import connected_components
 
@@ -84,6 +86,36 @@ def test_links_of_dense_prints_lose_nothing(spark):
     assert sorted(got.count(c) for c in set(got)) == [s for s in sizes if s > 1]
 
 
+@pytest.mark.parametrize("distance", [1, 2, 3])
+def test_tally_decides_before_bits(distance):
+    """The tally equals a count by hand; members that share too few entries are never linked, near ones always."""
+    rng = random.Random(distance)
+    for _, free in simhash._choices(distance):
+        base = rng.getrandbits(64)
+        prints = {base}
+        for _ in range(150):
+            flips = sum(1 << b for b in {8 * rng.choice(free) + rng.randrange(8) for _ in range(rng.randint(1, 4))})
+            prints.add(rng.choice(sorted(prints)) ^ flips)
+        members = np.array(sorted(prints), np.uint64).view(np.int64)
+        shared = simhash._tally(members, free)
+        split = [p.to_bytes(8, "big") for p in sorted(prints)]
+        by_hand = np.array([[sum(x == y for x, y in zip(a, b)) for b in split] for a in split])
+        assert (shared == by_hand)[~np.eye(len(split), dtype=bool)].all()
+        edges = list(simhash._counted(members, free, distance))
+        assert all(((a ^ b) & (1 << 64) - 1).bit_count() <= distance for a, b in edges)
+        groups = brute_groups(list(enumerate(sorted(prints))), distance)
+        assert len(edges) == len(prints) - len({g for _, _, g in groups})
+
+
+def test_every_link_agrees_in_two_runs():
+    for distance in (1, 2, 3):
+        masks = [m & (1 << 64) - 1 for m, _ in simhash._choices(distance)]
+        rng = random.Random(distance)
+        for _ in range(3000):
+            flips = sum(1 << b for b in rng.sample(range(64), distance))
+            assert any(flips & m == 0 for m in masks)
+
+
 def test_odd_rows(spark):
     rows = [(1, None, "x", 5), (2, "", "x", 5), (None, "some words here", "y", 6), (4, "some words here", "y", 6), (4, "some words here", "y", 6), (9, "other text altogether", None, None)]
     df = spark.createDataFrame(rows, SCHEMA)
