@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedweave.llm.common import materialise, small_batches
+from feedweave.llm.common import bounded_batches, materialise
 
 PIVOTS = 64  # centres of the top level, from a bounded sample of vectors
 SAMPLE_ROWS = 2048
@@ -18,6 +18,8 @@ BLOCK_ROWS = 2048  # and their number: building a tree takes all distances among
 QUERY_ROWS = 512
 SLICES = 8  # the candidate trees of one query tree are searched in so many runs
 LEAF = 64  # points of a leaf
+FAN_BITS = 4  # a ball over balls takes in 2 ** FAN_BITS neighbours in the order of the blocks
+BEAM = 8  # balls of a level in which a query block looks for its home; decides speed only
 _KIND = "block long, dim int, n int, ids binary, vs binary, nodes binary, balls binary, centre binary, radius double"
 
 
@@ -185,8 +187,23 @@ def scaled(vector: Column, scale: int) -> Column:
     return F.when(finite & (F.size(doubles) > 0), F.transform(doubles, lambda x: F.floor(x * scale).cast("long")))
 
 
+def _in_sequence(rows: np.ndarray) -> np.ndarray:
+    """An order in which neighbours are near: halves along the line between two far ends, halved again."""
+    waiting, order = [np.arange(len(rows))], []
+    while waiting:
+        at = waiting.pop()
+        if len(at) < 3:
+            order += at.tolist()
+            continue
+        one = at[((rows[at] - rows[at[0]]) ** 2).sum(axis=1).argmax()]
+        two = at[((rows[at] - rows[one]) ** 2).sum(axis=1).argmax()]
+        at = at[np.argsort(rows[at] @ (rows[two] - rows[one]), kind="stable")]
+        waiting += [at[len(at) // 2 :], at[: len(at) // 2]]
+    return np.array(order)
+
+
 def _pivots(vectors: DataFrame) -> dict[int, np.ndarray]:
-    """Centres far apart from each other, per vector length, from a bounded sample."""
+    """Centres far apart from each other, per vector length, from a bounded sample, neighbours next to each other."""
     by_dim: dict[int, list] = {}
     for r in vectors.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).select("v").collect():
         by_dim.setdefault(len(r["v"]), []).append(r["v"])
@@ -197,32 +214,35 @@ def _pivots(vectors: DataFrame) -> dict[int, np.ndarray]:
         while len(at) < PIVOTS and away.max() > 0:
             at.append(int(away.argmax()))
             away = np.minimum(away, ((rows - rows[at[-1]]) ** 2).sum(axis=1))
-        found[dim] = rows[at]
+        found[dim] = rows[at][_in_sequence(rows[at])]
     return found
 
 
 def _trees(vectors: DataFrame, pivots: dict[int, np.ndarray], block_rows: int) -> DataFrame:
-    """Blocks of vectors that lie around the same pivot, each with its cover tree.
+    """Blocks of vectors that lie around the same pivots, each with its cover tree.
 
-    The order (length, pivot, distance, id) is total, so a pivot with very many
-    vectors spreads over partitions and blocks.
+    The order (length, nearest pivot, second nearest, distance, id) is total, so
+    a pivot with very many vectors spreads over partitions and blocks.
     """
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column("v").value_lengths().to_numpy()
-            pivot, away = np.zeros(len(dims), np.int64), np.zeros(len(dims))
+            pivot, second, away = np.zeros(len(dims), np.int64), np.zeros(len(dims), np.int64), np.zeros(len(dims))
             for dim in np.unique(dims).tolist():
                 at = np.flatnonzero(dims == dim)
                 rows = batch.column("v").take(pa.array(at)).flatten().to_numpy().reshape(-1, dim).astype(float)
                 centres = pivots.get(dim, np.zeros((1, dim)))
                 square = (rows**2).sum(axis=1)[:, None] - 2 * rows @ centres.T + (centres**2).sum(axis=1)
                 pivot[at], away[at] = square.argmin(axis=1), square.min(axis=1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(dims), pa.array(pivot), pa.array(away)], names=["id", "v", "dim", "pivot", "away"])
+                square[np.arange(len(at)), pivot[at]] = np.inf
+                second[at] = square.argmin(axis=1)
+            added = [pa.array(x) for x in (dims, pivot, second, away)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=["id", "v", "dim", "pivot", "second", "away"])
 
     total = vectors.agg(F.sum(F.size("v").cast("long")).alias("n")).first()["n"] or 0
-    order = ["dim", "pivot", "away", "id"]
-    placed = vectors.select("id", "v").mapInArrow(place, "id long, v array<long>, dim int, pivot long, away double")
+    order = ["dim", "pivot", "second", "away", "id"]
+    placed = vectors.select("id", "v").mapInArrow(place, "id long, v array<long>, dim int, pivot long, second long, away double")
     parts = max(1, -(-total * 8 // (2 * BLOCK_BYTES)))
     runs = placed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     runs = runs.select(F.spark_partition_id().alias("part"), "dim", "id", "v")
@@ -308,6 +328,63 @@ def _side(trees: DataFrame, side: str) -> DataFrame:
     return trees.select(*[F.col(c).alias(f"{side}_{c}") for c in ("block", "n", "ids", "vs", "nodes", "balls")])
 
 
+def _around(balls: pa.Table) -> pa.Table:
+    """One ball around all balls of a group, whose members share ``dim`` and ``up``."""
+    centres = np.array([np.frombuffer(x) for x in balls.column("centre").to_pylist()])
+    n = balls.column("n").to_numpy().astype(np.float64)
+    centre = (centres * n[:, None]).sum(axis=0) / n.sum()
+    radius = (np.sqrt(((centres - centre) ** 2).sum(axis=1)) + balls.column("radius").to_numpy()).max()
+    row = [balls.column("dim")[0].as_py(), balls.column("up")[0].as_py(), int(n.sum()), centre.tobytes(), float(radius)]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.float64()]
+    return pa.Table.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], names=["dim", "node", "n", "centre", "radius"])
+
+
+def _levels(trees: DataFrame) -> list[DataFrame]:
+    """Balls around the blocks, then balls around neighbouring balls, up to one ball for each vector length.
+
+    The upper half of a block's number is its partition in the order of the
+    vectors, so the partition is the first ball above and runs of partitions the
+    next ones. A group holds the blocks of one partition, or ``2 ** FAN_BITS`` balls.
+    """
+    level = trees.select("dim", F.col("block").alias("node"), F.col("n").cast("long").alias("n"), "centre", "radius", F.expr("shiftright(block, 32)").alias("up"))
+    levels = [level]
+    last = (trees.agg(F.max("block").alias("b")).first()["b"] or 0) >> 32
+    while True:
+        above = level.groupBy("dim", "up").applyInArrow(_around, "dim int, node long, n long, centre binary, radius double")
+        level = materialise(above.withColumn("up", F.expr(f"shiftright(node, {FAN_BITS})")), "balls")
+        levels.append(level)
+        if not last:
+            return levels
+        last >>= FAN_BITS
+
+
+def _reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The centres' product and the most that any two points of two balls can reach."""
+    for batch in batches:
+        centres = [[np.frombuffer(x) for x in batch.column(f"{s}_centre").to_pylist()] for s in "qc"]
+        dots = np.array([x @ y for x, y in zip(*centres)], np.float64)
+        q, c = [np.array([np.sqrt(x @ x) for x in side], np.float64) for side in centres]
+        rq, rc = batch.column("q_radius").to_numpy(), batch.column("c_radius").to_numpy()
+        most = dots + q * rc + c * rq + rq * rc
+        most = most + 1e-9 * (np.abs(most) + (q + rq) * (c + rc)) + 1e-6
+        kept = [batch.column(f.split()[0]) for f in _REACH.split(", ")[:-2]]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(dots), pa.array(most)], names=[f.split()[0] for f in _REACH.split(", ")])
+
+
+_REACH = "dim int, q_block long, q_centre binary, q_radius double, least long, node long, c_n long, dot double, most double"
+
+
+def _below(met: DataFrame, level: DataFrame) -> DataFrame:
+    """Every query block of ``met`` with the balls one level below the ball it met."""
+    balls = level.select(
+        "dim", F.col("up").alias("node"), F.col("node").alias("child"),
+        F.col("n").alias("c_n"), F.col("centre").alias("c_centre"), F.col("radius").alias("c_radius"),
+    )
+    carried = met.select("dim", "q_block", "q_centre", "q_radius", "least", "node")
+    pairs = carried.join(balls, ["dim", "node"]).drop("node").withColumnRenamed("child", "node")
+    return pairs.mapInArrow(_reach, _REACH)
+
+
 def top_k(
     rows: DataFrame,
     queries: Column,
@@ -327,12 +404,13 @@ def top_k(
     raise an error. Returns ``query_id``, ``rank`` (from 1), ``vec_id``, ``score``.
 
     Queries and candidates are cut into blocks around common pivots, each with
-    a cover tree. Every query block first searches the block that promises
-    most; the kth scores found there bound all later work: block pairs, then
-    node pairs, whose centres and covering radii cannot reach the worst kth
-    score of the query group are skipped.
+    a cover tree. Balls around neighbouring blocks, and balls around these, form
+    a tree above the blocks. Every query block first descends to the block that
+    promises most and searches it; the kth scores found there bound all later
+    work: balls, blocks, then node pairs, whose centres and covering radii cannot
+    reach the worst kth score of the query group are skipped with all below them.
     """
-    small_batches(rows.sparkSession)
+    bounded_batches(rows.sparkSession)
     slim = rows.select(F.col(id_col).cast("long").alias("id"), scaled(F.col(vector), scale).alias("v"))
     slim = slim.where("id is not null and v is not null").groupBy("id").agg(F.min("v").alias("v"))
     vectors = materialise(slim, "vectors")
@@ -341,24 +419,17 @@ def top_k(
     candidates = materialise(_trees(vectors, pivots, BLOCK_ROWS), "candidate-trees")
     wanted = materialise(_trees(asked, pivots, QUERY_ROWS), "query-trees")
 
-    # what every pair of blocks can reach; one row per pair, without the vectors
-    ball = lambda t, side: t.select("dim", *[F.col(c).alias(f"{side}_{c}") for c in ("block", "n", "centre", "radius")])
-    meta = ball(wanted, "q").join(ball(candidates, "c"), "dim")
-
-    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            centres = [[np.frombuffer(x) for x in batch.column(f"{s}_centre").to_pylist()] for s in "qc"]
-            dots = np.array([x @ y for x, y in zip(*centres)])
-            q, c = [np.array([np.sqrt(x @ x) for x in side]) for side in centres]
-            rq, rc = batch.column("q_radius").to_numpy(), batch.column("c_radius").to_numpy()
-            most = dots + q * rc + c * rq + rq * rc
-            most = most + 1e-9 * (np.abs(most) + (q + rq) * (c + rc)) + 1e-6
-            yield pa.RecordBatch.from_arrays([batch.column("dim"), batch.column("q_block"), batch.column("c_block"), batch.column("c_n"), pa.array(dots), pa.array(most)], names=["dim", "q_block", "c_block", "c_n", "dot", "most"])
-
-    pairs = materialise(meta.mapInArrow(reach, "dim int, q_block long, c_block long, c_n int, dot double, most double"), "block-pairs")
-    # the home block: large enough if there is one, then by its centre
-    best = F.max_by(F.struct("c_block", "most"), F.struct(F.col("c_n") > k, "dot", "c_block"))
-    home = pairs.groupBy("q_block").agg(best.alias("h")).select("q_block", "h.c_block", "h.most", F.lit(0).alias("slice"))
+    # the home block: the most promising of the most promising balls, level by level
+    levels = _levels(candidates)[::-1]
+    asking = wanted.select(
+        "dim", F.col("block").alias("q_block"), F.col("centre").alias("q_centre"), F.col("radius").alias("q_radius"), F.lit(0).cast("long").alias("node")
+    )
+    met = asking.withColumn("least", F.lit(None).cast("long"))
+    promise = Window.partitionBy("q_block").orderBy(F.desc(F.col("c_n") > k), F.desc("dot"), F.desc("node"))
+    for level in levels:
+        beam = 1 if level is levels[-1] else BEAM
+        met = _below(met, level).withColumn("place", F.row_number().over(promise)).where(F.col("place") <= beam)
+    home = materialise(met.select("q_block", F.col("node").alias("c_block"), "most", F.lit(0).alias("slice")), "homes")
     own, theirs = _side(wanted, "q"), _side(candidates, "c")
     nothing = [F.lit(None).cast("array<long>").alias(c) for c in ("q_known", "q_worst")]
     dims = wanted.select(F.col("block").alias("q_block"), "dim")
@@ -377,8 +448,14 @@ def top_k(
     known = known.groupBy("q_block").agg(
         F.array_sort(F.collect_list(F.struct("query_id", "worst"))).alias("known"), F.min("worst").alias("least")
     )
+    known = materialise(known, "known-scores")
+    # only balls that can reach a query block's worst kth score are opened
+    met = asking.join(known.select("q_block", "least"), "q_block")
+    for level in levels:
+        met = _below(met, level).where("most >= least")
+    pairs = materialise(met.select("q_block", F.col("node").alias("c_block"), "most"), "block-pairs")
     left = pairs.join(home.select("q_block", F.col("c_block").alias("home")), "q_block").where("c_block <> home")
-    left = left.join(known, "q_block").where("most >= least").select(
+    left = left.join(known, "q_block").join(dims, "q_block").select(
         "dim", "q_block", "c_block", "most", F.pmod(F.xxhash64("c_block"), F.lit(SLICES)).cast("int").alias("slice"),
         F.col("known.query_id").alias("q_known"), F.col("known.worst").alias("q_worst"),
     )

@@ -45,6 +45,50 @@ def test_equals_brute_force(spark, monkeypatch, dim, spread):
     assert sorted(map(tuple, found.collect())) == brute(exact, 20, 64, 20)
 
 
+def test_only_balls_that_can_reach_are_opened(spark, monkeypatch):
+    """Balls cover what lies below them, several levels deep; far clusters give no row for a pair of blocks."""
+    import numpy as np
+
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 8)
+    monkeypatch.setattr(topk, "BLOCK_BYTES", 128)
+    monkeypatch.setattr(topk, "FAN_BITS", 1)
+    monkeypatch.setattr(topk, "PIVOTS", 10)
+    written, keep, covering = {}, topk.materialise, topk._levels
+
+    def noted(df, label):
+        written[label] = keep(df, label)
+        return written[label]
+
+    def checked(trees):
+        levels = covering(trees)
+        assert len(levels) > 4 and levels[-1].count() == 1
+        for low, high in zip(levels, levels[1:]):
+            balls = {r["node"]: r for r in high.collect()}
+            parts = low.collect()
+            assert sum(r["n"] for r in parts) == sum(r["n"] for r in balls.values())
+            for r in parts:
+                up = balls[r["up"]]
+                away = np.linalg.norm(np.frombuffer(r["centre"]) - np.frombuffer(up["centre"]))
+                assert away + r["radius"] <= up["radius"] * (1 + 1e-12) + 1e-9
+        return levels
+
+    monkeypatch.setattr(topk, "materialise", noted)
+    monkeypatch.setattr(topk, "_levels", checked)
+    rng = random.Random(5)
+    turn = lambda k: 2 * math.pi * (k % 10) / 10
+    rows = [(k, [100 * math.cos(turn(k)) + rng.gauss(0, 0.1), 100 * math.sin(turn(k)) + rng.gauss(0, 0.1)]) for k in range(400)]
+    df = made(spark, rows)
+    exact = [(r["vec_id"], r["embedding"]) for r in df.collect()]
+    found = topk.top_k(df, F.col("id") % 20 < 10, k=5).collect()
+    want = [r for q in range(10) for r in brute([((i - q) % 400, v) for i, v in exact], 5, 64, 20)]
+    assert len(found) == 200 * 5
+    blocks = written["candidate-trees"].count() * written["query-trees"].count()
+    assert written["block-pairs"].count() < blocks / 3
+    scores = sorted((r["rank"], r["score"]) for r in found)
+    assert scores == sorted((r, s) for _, r, _, s in want)
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0]), (20, [1.0, 2.0]), (20, [0.5, 2.0]), (5, None), (6, []), (7, [1.0, None]), (8, [nan, 1.0]), (40, [inf, 1.0]), (None, [1.0, 1.0]), (9, [0.0, 0.0]), (10, [-1.0, 0.01]), (10, [-1.0, 0.01]), (60, [1.0, 2.0, 3.0]), (11, [1.0, 0.0, 0.0])]
