@@ -3,16 +3,18 @@
 import contextlib
 import datetime as dt
 import re
+from base64 import b64encode
 
 from pyspark.sql import functions as F
 
-from feedweave.catalog import QUERIES
+from feedweave.catalog import QUERIES, feeds
 from feedweave.catalog.registry import Tables
 from feedweave.functions.dates import compact_date_window
+from feedweave.functions.privacy import base64_line
 from feedweave.operators.lookups import exclude_if_in, flag_if_in
 from feedweave.operators.totals import total_per_group
-from feedweave.plans import purchase_feed
-from feedweave.sources import staging
+from feedweave.plans import claim_layout, fixed_extract, purchase_feed
+from feedweave.sources import readers, staging
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -225,3 +227,48 @@ def test_staged_sales_meet_without_a_shuffle(spark, tmp_path):
         for k, v in kept.items():
             spark.conf.set(k, v)
         spark.sql("DROP TABLE IF EXISTS staged_sales_test")
+
+
+def test_claims_are_not_shuffled_for_small_lookups(spark):
+    """A lookup of few keys taken from many rows: its keys are stored first, so that Spark knows them to be few."""
+    t = Tables(spark, FOLDER)
+    cfg = feeds.extract_settings(claim_layout.VARIANT_2)
+    many = spark.range(10_000_000).selectExpr("'WI' AS STATE_CD", "cast(id % 10 AS string) AS zip_3", "'XXMED' AS THIRD_PARTY_PLAN_ID",
+                                              "'G1' AS PLAN_GROUP_NBR", "cast(id % 10 AS string) AS GENERIC_PROD_ID")
+    side = fixed_extract.Lookups(many, t.values("prod_name", "('ring')"), many, many, many)
+    text = plan(fixed_extract.records(fixed_extract.mark(feeds.protected_claims(t, cfg.keys), side, cfg), cfg))
+    assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") >= 5
+
+
+def test_landed_rows_are_not_shuffled_for_their_paths(spark, tmp_path):
+    (tmp_path / "one.dat").write_text("a\u0001b\n1\u00012\n")
+    landed = readers.read_landed(spark, [str(tmp_path / "one.dat")], ["a", "b"], "file", "damaged")
+    assert "SortMergeJoin" not in plan(landed.rows) and landed.rows.count() == 1
+
+
+def test_rows_left_out_are_not_opened(spark):
+    """Excluded claims keep their file only; what is formatted is as before."""
+    t = Tables(spark, FOLDER)
+    cfg = feeds.extract_settings(claim_layout.VARIANT_2)
+    marked = fixed_extract.mark(feeds.protected_claims(t, cfg.keys), feeds.claim_lookups(t), cfg)
+    out = marked.filter(F.col(fixed_extract.EXCLUDED).isNotNull())
+    texts = [c for c in marked.columns if c.startswith(claim_layout.CLEAR) or c in claim_layout.PROTECTED]
+    seen = out.agg(F.count("*"), F.count(fixed_extract.FILE), *[F.count(c) for c in texts]).first()
+    assert seen[0] == seen[1] > 0 and len(texts) == 12 and not any(seen[2:])
+
+
+def test_long_tokens_stay_on_one_line(spark):
+    lengths = [1, 30, 57, 58, 400]
+    rows = spark.createDataFrame([("x" * n,) for n in lengths], "c string").select(base64_line(F.col("c").cast("binary"))).collect()
+    assert [r[0] for r in rows] == [b64encode(b"x" * n).decode() for n in lengths]
+
+
+def test_buckets_grow_with_the_staged_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(purchase_feed, "BUCKET_ROWS", 100)
+    sales = spark.range(3000).selectExpr("1100 AS RECORDTYP", "cast(id % 1000 AS string) AS RFN", "cast(id AS string) AS UPC_NBR")
+    try:
+        staged = purchase_feed.stage_sales(sales, "staged_sales_grown", str(tmp_path / "sales"), buckets=2)
+        sizes = [r["count"] for r in staged.groupBy("_metadata.file_name").count().collect()]
+        assert len(sizes) >= 25 and sum(sizes) == 3000 and max(sizes) < 300
+    finally:
+        spark.sql("DROP TABLE IF EXISTS staged_sales_grown")
