@@ -7,7 +7,7 @@ from base64 import b64encode
 
 from pyspark.sql import functions as F
 
-from feedweave.catalog import QUERIES, feeds
+from feedweave.catalog import QUERIES, feeds, shapes
 from feedweave.catalog.registry import Tables
 from feedweave.functions.dates import compact_date_window
 from feedweave.functions.privacy import base64_line
@@ -272,3 +272,12 @@ def test_buckets_grow_with_the_staged_table(spark, tmp_path, monkeypatch):
         assert len(sizes) >= 25 and sum(sizes) == 3000 and max(sizes) < 300
     finally:
         spark.sql("DROP TABLE IF EXISTS staged_sales_grown")
+
+
+def test_headers_of_the_sales_are_made_once_in_all_partitions(spark):
+    """Both copies of a header come from one aggregate, whose partitions are not merged by their compressed size."""
+    sales = shapes.sales(Tables(spark, FOLDER))
+    text = plan(sales)
+    assert "REPARTITION_BY_NUM" in text and "Generate" in text and text.count("HashAggregate") == 2
+    headers = sales.filter("RECORDTYP = 1000").groupBy("RFN", "SALES_TXN_DT", "STORE_NBR", "loyalty_id").count()
+    assert {r[0] for r in headers.select("count").distinct().collect()} == {2}
