@@ -281,3 +281,15 @@ def test_headers_of_the_sales_are_made_once_in_all_partitions(spark):
     assert "REPARTITION_BY_NUM" in text and "Generate" in text and text.count("HashAggregate") == 2
     headers = sales.filter("RECORDTYP = 1000").groupBy("RFN", "SALES_TXN_DT", "STORE_NBR", "loyalty_id").count()
     assert {r[0] for r in headers.select("count").distinct().collect()} == {2}
+
+
+def test_header_partitions_grow_with_the_item_lines(spark, monkeypatch):
+    """A task makes the headers of a bounded number of lines distinct, however many lines there are."""
+    t = Tables(spark, FOLDER)
+    lines = t.lineitem.count()
+    monkeypatch.setattr(shapes, "HEADER_ROWS", 100)
+    (parts,) = re.findall(r"hashpartitioning\(RFN[^)]*, (\d+)\), REPARTITION_BY_NUM", plan(shapes.sales(t)))
+    assert int(parts) == -(-lines // 100) > 4
+    monkeypatch.setattr(shapes, "HEADER_ROWS", 10 * lines)
+    (parts,) = re.findall(r"hashpartitioning\(RFN[^)]*, (\d+)\), REPARTITION_BY_NUM", plan(shapes.sales(t)))
+    assert int(parts) == 4
