@@ -11,6 +11,7 @@ from feedweave.catalog import QUERIES, feeds, shapes
 from feedweave.catalog.registry import Tables
 from feedweave.functions.dates import compact_date_window
 from feedweave.functions.privacy import base64_line
+from feedweave.functions.text import cleaned_together
 from feedweave.operators.lookups import exclude_if_in, flag_if_in
 from feedweave.operators.totals import total_per_group
 from feedweave.plans import claim_layout, fixed_extract, purchase_feed
@@ -293,3 +294,23 @@ def test_header_partitions_grow_with_the_item_lines(spark, monkeypatch):
     monkeypatch.setattr(shapes, "HEADER_ROWS", 10 * lines)
     (parts,) = re.findall(r"hashpartitioning\(RFN[^)]*, (\d+)\), REPARTITION_BY_NUM", plan(shapes.sales(t)))
     assert int(parts) == 4
+
+
+def test_claims_stay_packed_through_their_joins(spark):
+    """The texts that no lookup needs are unpacked once, above all joins, and rows left out keep nothing but their file."""
+    t = Tables(spark, FOLDER)
+    cfg = feeds.extract_settings(claim_layout.VARIANT_2)
+    marked = fixed_extract.mark(feeds.protected_claims(t, cfg.keys), feeds.claim_lookups(t), cfg)
+    above, _, below = plan(fixed_extract.records(marked, cfg)).partition("BroadcastHashJoin")
+    assert "__row" in above and "_extract_" not in below
+    left_out = marked.filter(F.col(fixed_extract.EXCLUDED).isNotNull()).drop(fixed_extract.FILE, fixed_extract.EXCLUDED, fixed_extract.SUPPRESSED)
+    seen = left_out.agg(F.count("*"), *[F.count(c) for c in left_out.columns if c != "free_goods_ind"]).first()
+    assert seen[0] > 0 and not any(seen[1:])
+
+
+def test_texts_that_hold_the_joining_character_are_cleaned_one_by_one(spark):
+    rows = spark.createDataFrame([(1, "a*b", "c_"), (2, "a\u0001*b", "c_"), (3, None, "\u0001")], "id int, x string, y string")
+    made = rows.select("id", cleaned_together([F.col("x"), F.col("y")]).alias("p")).orderBy("id")
+    assert [r.p for r in made.collect()] == [["ab", "c"], ["ab", "c"], ["", ""]]
+    # a lambda over the joined texts would be run without generated code, for every row
+    assert "filter(array(split(" not in plan(made)
