@@ -1,11 +1,12 @@
 """The feeds end to end, through files."""
 
 import datetime as dt
+import pathlib
 from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from feedweave.catalog import feeds, shapes
+from feedweave.catalog import QUERIES, feeds, shapes
 from feedweave.catalog.registry import Tables
 from feedweave.functions import fixed_values as fixed
 from feedweave.functions.privacy import KeyRing
@@ -262,6 +263,17 @@ def test_staged_rows_are_deleted_on_failure(spark, tmp_path, monkeypatch):
     assert {r.transformation_complition_flag for r in state.read_state(spark, root).collect()} == {"N"}
 
 
+def test_the_extract_holds_the_landings_of_one_run_and_compressed_records(spark):
+    shared = pathlib.Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "feedweave"
+    before = set(shared.glob("*"))
+    found = QUERIES["fixed_extract_run"](spark, FOLDER)
+    made = {p.name.split("-")[0]: p for p in set(shared.glob("*")) - before}
+    assert sorted(p.name for p in made["landing"].iterdir()) == ["claims empty.dat", "claims short.dat", "state"]
+    parts = [p for p in made["extracts"].rglob("part-*") if not p.match("*/totals/*/*")]
+    assert parts and all(p.name.endswith(".gz") for p in parts)
+    assert found.filter("kind = 'record valid'").count() > 1000
+
+
 def test_lines_with_other_numbers_of_fields_are_quarantined(spark, tmp_path):
     t, out, root = Tables(spark, FOLDER), tmp_path / "out", str(tmp_path / "state")
     cfg = replace(feeds.extract_settings(claim_layout.VARIANT_2), reject_threshold=100.0)

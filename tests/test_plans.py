@@ -3,6 +3,7 @@
 import contextlib
 import datetime as dt
 import re
+import time
 from base64 import b64encode
 
 from pyspark.sql import functions as F
@@ -314,3 +315,21 @@ def test_texts_that_hold_the_joining_character_are_cleaned_one_by_one(spark):
     assert [r.p for r in made.collect()] == [["ab", "c"], ["ab", "c"], ["", ""]]
     # a lambda over the joined texts would be run without generated code, for every row
     assert "filter(array(split(" not in plan(made)
+
+
+def test_shuffle_files_go_when_their_query_ends(spark):
+    """A job of several queries needs the disk of its largest one; a result that is asked for again is made again."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {files.apply(k).getName() for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_")}
+
+    rows = spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count()
+    before = shuffled()
+    rows.write.format("noop").mode("overwrite").save()
+    until = time.time() + 10
+    while (left := shuffled() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert len(rows.collect()) == len(rows.collect()) == 7
