@@ -13,6 +13,7 @@ from feedweave.catalog.registry import Tables
 from feedweave.functions.dates import compact_date_window
 from feedweave.functions.privacy import base64_line
 from feedweave.functions.text import cleaned_together
+from feedweave.operators import lookups
 from feedweave.operators.lookups import exclude_if_in, flag_if_in
 from feedweave.operators.totals import total_per_group
 from feedweave.plans import claim_layout, fixed_extract, purchase_feed
@@ -333,3 +334,23 @@ def test_shuffle_files_go_when_their_query_ends(spark):
         time.sleep(0.2)
     assert not left
     assert len(rows.collect()) == len(rows.collect()) == 7
+
+
+def test_item_lines_of_claims_are_shuffled_by_part_and_by_order_only(spark):
+    """With no small side: orders meet customers apart, and no shuffle of whole rows follows the joins."""
+    with small_partitions(spark):
+        claims = shapes.claims(Tables(spark, FOLDER))
+        keys = re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan(claims))
+    assert sorted(re.sub(r"#\d+L?", "", k) for k in keys) == ["l_orderkey", "l_partkey", "l_suppkey", "o_orderkey", "p_partkey", "s_suppkey"]
+    assert claims.count() == Tables(spark, FOLDER).lineitem.count()
+
+
+def test_wide_rows_are_made_once_for_their_texts(spark, monkeypatch):
+    """The index of pieces uses the texts several times: it gets them stored, not the rows they come from."""
+    seen, found_in = [], lookups.keys_with_terms
+    monkeypatch.setattr(lookups, "keys_with_terms", lambda df, *args: seen.append(df) or found_in(df, *args))
+    rows = spark.range(6).selectExpr("id", "element_at(array('ring', 'a ring', '', NULL, 'rin', 'ring'), int(id + 1)) AS t")
+    terms = spark.createDataFrame([("ring",)], "term string")
+    flagged = lookups.flag_terms(rows, "t", terms, "term", "hit", wide=True)
+    assert [r.hit for r in flagged.orderBy("id").collect()] == [True, True, False, False, False, True]
+    assert "FileScan" in plan(seen[0]) and "Range" not in plan(seen[0]) and seen[0].count() == 3
