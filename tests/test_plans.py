@@ -354,3 +354,29 @@ def test_wide_rows_are_made_once_for_their_texts(spark, monkeypatch):
     flagged = lookups.flag_terms(rows, "t", terms, "term", "hit", wide=True)
     assert [r.hit for r in flagged.orderBy("id").collect()] == [True, True, False, False, False, True]
     assert "FileScan" in plan(seen[0]) and "Range" not in plan(seen[0]) and seen[0].count() == 3
+
+
+def test_a_large_table_is_staged_in_passes(spark, tmp_path, monkeypatch):
+    """Each pass shuffles a part of the transactions; rows, slices and co-location are those of a single pass."""
+    rfn = "CASE WHEN id % 10 = 0 THEN 'hot' WHEN id % 10 < 9 THEN cast(id % 700 AS string) END"
+    sales = spark.range(3000).selectExpr("CASE WHEN id % 4 = 0 THEN 1000 ELSE 1100 END AS RECORDTYP", f"{rfn} AS RFN", "cast(id % 90 AS string) AS UPC_NBR", "id")
+    asked, flag = [], lookups.flag_if_in
+    monkeypatch.setattr(lookups, "flag_if_in", lambda df, *args, **kw: asked.append(df.count()) or flag(df, *args, **kw))
+    kept = {k: spark.conf.get(k) for k in purchase_feed.CO_LOCATED}
+    try:
+        for k, v in purchase_feed.CO_LOCATED.items():
+            spark.conf.set(k, v)
+        whole = purchase_feed.stage_sales(sales, "staged_sales_whole", str(tmp_path / "whole"), buckets=4, hot_rows=100, slices=8)
+        monkeypatch.setattr(purchase_feed, "PASS_ROWS", 1000)
+        passed = purchase_feed.stage_sales(sales, "staged_sales_passed", str(tmp_path / "passed"), buckets=4, hot_rows=100, slices=8)
+        assert len(asked) == 1 + purchase_feed.PASSES and asked[0] == sum(asked[1:]) == 3000 and max(asked[1:]) < 2000
+        rows = [sorted(map(str, s.collect())) for s in (whole, passed)]
+        assert rows[0] == rows[1] and len(rows[0]) > 3000
+        with small_partitions(spark):
+            both = passed.join(passed.withColumnsRenamed({c: f"__{c}" for c in passed.columns}), F.expr(f"RFN = __RFN AND {purchase_feed.SLICE} = __{purchase_feed.SLICE}"))
+            assert "Exchange" not in plan(both)
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+        for name in ("whole", "passed"):
+            spark.sql(f"DROP TABLE IF EXISTS staged_sales_{name}")
